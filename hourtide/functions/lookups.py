@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +10,14 @@ from hourtide import fixed_values as fv
 
 def lookup(key: Column, mapping: dict, default) -> Column:
     """``mapping[key]`` with a default for keys that are unknown or null."""
-    literal_map = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    return F.coalesce(literal_map[key], F.lit(default))
+    entries = ", ".join(_literal(x) for pair in mapping.items() for x in pair)
+    return F.coalesce(F.expr(f"map({entries})")[key], F.lit(default))
+
+
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
 
 
 def weather_severity(weather: Column) -> Column:

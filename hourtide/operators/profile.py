@@ -48,8 +48,10 @@ def sample_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
 
 
 def sample_n(df: DataFrame, key: list[str], n: int = 5000, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the same ones on every run: the smallest seeded hashes."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)
+    """Exactly ``min(n, rows)`` rows, the same ones on every run and on every engine: the smallest
+    digests of seed and key. Each task keeps ``n`` rows; nothing is sorted as a whole."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    return df.orderBy(digest, *key).limit(n)
 
 
 def null_blank_counts(df: DataFrame) -> DataFrame:

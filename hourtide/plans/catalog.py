@@ -86,7 +86,7 @@ def sample_rows(spark, sf_dir):
 @query
 def sample_n(spark, sf_dir):
     obs = observations(spark, sf_dir).select("seq", "date_time", "temp", "traffic_volume")
-    return profile.sample_n(obs, ["seq"])
+    return profile.sample_n(obs, ["seq"], 5000)
 
 
 @query
@@ -654,7 +654,17 @@ def monitoring_summary(spark, sf_dir):
 @query
 def drift_status_json(spark, sf_dir):
     status = drift.monitoring_status(*jobs.monitoring_checks(spark, sf_dir))
-    return status.select("overall_status", F.to_json(F.struct(*status.columns)).alias("status_json"))
+    written = status.select(F.to_json(F.struct(*status.columns)).alias("status_json"))
+    read = written.select(F.from_json("status_json", status.schema).alias("s"))
+    return read.select(
+        "s.overall_status",
+        "s.overall_message",
+        F.col("s.prediction_error_drift.status").alias("error_status"),
+        F.col("s.prediction_error_drift.holdout_mae").alias("holdout_mae"),
+        F.col("s.prediction_error_drift.production_mae").alias("production_mae"),
+        F.col("s.prediction_error_drift.pct_change").alias("pct_change"),
+        F.inline("s.feature_drift"),
+    )
 
 
 # --- the same operators on other tables -------------------------------------------------------------
@@ -698,4 +708,4 @@ def lineitem_odds_ratio(spark, sf_dir):
 
 @query
 def lineitem_shipdate_gaps(spark, sf_dir):
-    return rounded(trends.coverage_gaps(load(spark, sf_dir, "lineitem"), 24.0, "l_shipdate"))
+    return rounded(trends.coverage_gaps(load(spark, sf_dir, "lineitem"), 12.0, "l_shipdate"))

@@ -178,6 +178,7 @@ add(
     ),
 )
 add("sample_rows", "obs", "SELECT * FROM obs ORDER BY seq LIMIT 5")
+add("sample_n", "obs", "SELECT seq, date_time, temp, traffic_volume FROM obs ORDER BY md5('42|' || seq), seq LIMIT 5000")
 add("row_count", "obs", "SELECT count(*) AS total_rows FROM obs")
 add("unique_timestamps", "obs", "SELECT count(DISTINCT date_time) AS unique_timestamps FROM obs")
 add(
@@ -793,6 +794,16 @@ add(
     more=(_long, _shares, _parts, _monitored, _error, _tested, _checks),
 )
 
+add(
+    "drift_status_json",
+    "labelled",
+    "SELECT o.overall_status, CASE o.overall_status WHEN 'ALERT' THEN 'ALERT / Requires investigation' ELSE 'PASS / Normal' END AS overall_message, "
+    "e.status AS error_status, round(e.holdout_mae, 2) AS holdout_mae, round(e.production_mae, 2) AS production_mae, round(e.pct_change, 2) AS pct_change, "
+    "t.feature, CASE WHEN t.p < 0.05 THEN 'ALERT' ELSE 'PASS' END AS status, round(t.ks_statistic, 4) AS ks_statistic, round(t.p, 4) + 0.0 AS p_value "
+    "FROM tested t, error_drift e, (SELECT CASE WHEN bool_or(status = 'ALERT') THEN 'ALERT' ELSE 'PASS' END AS overall_status FROM checks) o",
+    more=(_long, _shares, _parts, _monitored, _error, _tested, _checks),
+)
+
 # --- the same operators on other tables
 add("events_hourly_profile", None, _hourly("events", "ts", "value"), "avg_volume", 4)
 add(
@@ -812,4 +823,4 @@ add(
 )
 add("lineitem_histogram", None, _histogram("lineitem", "l_quantity", 20), "lower upper")
 add("lineitem_odds_ratio", None, _odds("lineitem", "l_quantity > 40", "l_returnflag", "R", "A"), "first_odds second_odds odds_ratio")
-add("lineitem_shipdate_gaps", None, _gaps("lineitem", "l_shipdate", 24), "gap_hours")
+add("lineitem_shipdate_gaps", None, _gaps("lineitem", "l_shipdate", 12), "gap_hours")

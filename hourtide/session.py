@@ -37,6 +37,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        chosen = context._jsc.sc().getCheckpointDir()
+        folder = chosen.get() if chosen.isDefined() else None
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
