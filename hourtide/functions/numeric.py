@@ -20,7 +20,8 @@ def share(condition: Column) -> Column:
 
 
 def positive_if(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+    """Rows where ``condition`` holds; null counts as not holding."""
+    return F.count(F.when(condition, F.lit(1)))
 
 
 def kolmogorov_tail(d: Column, n1: Column, n2: Column, terms: int = 8) -> Column:

@@ -11,12 +11,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
+from hourtide.operators.ranks import estimated_bytes
 from hourtide.operators.metrics import classification_metrics, regression_metrics
 from hourtide.operators.splits import with_class_weights
 
 SEED = 42
+BUCKET_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -141,15 +144,17 @@ def permutation_importance(
     features: list[str],
     label: str,
     key: str,
-    buckets: int = 64,
+    buckets: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """Increase of the mean absolute error when one feature at a time is permuted.
 
     Rows swap partners within hash buckets: ranked once by key and once by a seeded hash, then matched
-    on (bucket, rank). Raise ``buckets`` with the table so that a bucket fits a task. All features share
-    the permutation and one scoring pass.
+    on (bucket, rank). The key is unique, so the buckets are even; their number grows with the size of
+    the input. All features share the permutation and one scoring pass.
     """
+    if buckets is None:
+        buckets = max(64, estimated_bytes(df) // BUCKET_BYTES)
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
     base = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in features]).withColumn("bucket_", bucket)
     hashed = F.xxhash64(F.lit(seed), key)
@@ -165,16 +170,10 @@ def permutation_importance(
         label, "permuted_", *[F.when(F.col("permuted_") == f, F.col(f"{f}_other_")).otherwise(F.col(f)).alias(f) for f in features]
     )
     errors = predict(model, swapped).groupBy("permuted_").agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae"))
-    base_mae = F.max(F.when(F.col("permuted_") == "", F.col("mae"))).over(_all_rows())
+    # One row per feature: a window without partitions is fine.
+    base_mae = F.max(F.when(F.col("permuted_") == "", F.col("mae"))).over(Window.partitionBy())
     return (
         errors.withColumn("base_mae", base_mae)
         .where(F.col("permuted_") != "")
         .select(F.col("permuted_").alias("feature"), "base_mae", "mae", (F.col("mae") - F.col("base_mae")).alias("increase"))
     )
-
-
-def _all_rows():
-    """A window over one row per feature."""
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy()

@@ -5,8 +5,9 @@ group holding a third of the table costs one row per distinct reading. What foll
 planner's size estimate of the input:
 
 * small: the distinct values of a group are ordered in one task;
-* large: they are split into ordered buckets; each bucket is summed on its own and the bucket totals,
-  a few dozen rows per group, supply the offsets. No task sees a whole group.
+* large: the counts are written once to the shared folder, since three passes read them. They are split
+  into ordered buckets; each bucket is summed on its own and the bucket totals, at most some hundred
+  rows per group, supply the offsets. No task sees a whole group.
 
 The bucket bounds come from the values with the smallest hashes, so they depend on the data only: the
 passes that use them (totals and running sums) agree however often Spark evaluates them.
@@ -18,11 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hourtide.sources.stages import write_stage
+
 # Input estimated below this many bytes has few enough distinct values for one task per group.
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
 # Values per group that choose the bounds. Spark pushes row_number limits up to 1000 below the shuffle.
 SAMPLE_ROWS = 1000
 BUCKETS = 64
+MOST_BUCKETS = 250
+ROWS_PER_BUCKET = 1_000_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -40,12 +45,13 @@ def running_totals(
     measures: list[str],
     keys: list[str] | None = None,
     spread: bool | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller ``order`` values) and ``<m>_total`` per group of ``keys``.
 
     ``counts`` holds each (keys, order) once. The groups must be a bounded set (months, hours, features):
-    the broadcast sides hold at most ``buckets`` entries per group. ``spread`` overrides the size check.
+    the broadcast sides hold at most ``buckets`` entries per group. ``spread`` overrides the size check;
+    the number of buckets follows the number of counts unless given.
     """
     keys = list(keys or [])
     whole = Window.partitionBy(*keys)
@@ -57,6 +63,9 @@ def running_totals(
             *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
         )
 
+    counts = write_stage(counts, "value-counts")
+    if buckets is None:
+        buckets = min(max(counts.count() // ROWS_PER_BUCKET, BUCKETS), MOST_BUCKETS)
     bounds = _bucket_bounds(counts, order, keys, buckets)
     bounded = _join_on(counts, bounds, keys) if keys else counts.withColumn("bounds_", bounds.scalar())
     bucket = F.size(F.filter("bounds_", lambda b: b <= F.col(order)))
@@ -113,7 +122,7 @@ def quantiles(
     probabilities: dict[str, float],
     keys: list[str] | None = None,
     spread: bool | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group: one column per entry of ``probabilities``.
 

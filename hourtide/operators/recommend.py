@@ -29,7 +29,7 @@ def hourly_stats(df: DataFrame, keys: tuple[str, ...] = ("day_type", "weather_ca
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.count(value).alias("count")
     )
     parts = quantiles(df, value, {"p25": 0.25, "median": 0.5, "p75": 0.75}, keys)
-    return moments.join(parts, keys)
+    return moments.join(parts, keys, "left")
 
 
 def hourly_means(df: DataFrame, keys: list[str], value: str = VOLUME) -> DataFrame:

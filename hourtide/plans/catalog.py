@@ -339,7 +339,7 @@ def volume_histogram(spark, sf_dir):
 
 @query
 def drift_histogram(spark, sf_dir):
-    rows = jobs.labelled_table(spark, sf_dir).where(F.col("split").isin("train", "production"))
+    rows = jobs.featured_rows(spark, sf_dir, "train", "production")
     return rounded(histograms.sample_histograms(rows, fv.DRIFT_FEATURES, "split"))
 
 
@@ -474,8 +474,7 @@ def chronological_split(spark, sf_dir):
 
 @query
 def holdout_tail_split(spark, sf_dir):
-    train = jobs.featured_table(spark, sf_dir).where(cal.through_year(F.col("date_time"), TRAIN_THROUGH))
-    return splits.holdout_tail(train).select("date_time", "part")
+    return splits.holdout_tail(jobs.training_rows(spark, sf_dir)).select("date_time", "part")
 
 
 @query
@@ -527,13 +526,13 @@ def feature_importance(spark, sf_dir):
 
 
 def _baseline_regression(spark, sf_dir) -> DataFrame:
-    labelled = jobs.labelled_table(spark, sf_dir)
-    return jobs.hour_day_prediction(labelled, F.col("split") == "train").where(F.col("split") == "test")
+    rows = jobs.featured_rows(spark, sf_dir, "train", "test")
+    return jobs.hour_day_prediction(rows, F.col("split") == "train").where(F.col("split") == "test")
 
 
 def _baseline_classification(spark, sf_dir) -> DataFrame:
-    labelled = jobs.labelled_table(spark, sf_dir)
-    return jobs.weather_hour_risk(labelled, F.col("split") == "train").where(F.col("split") == "test")
+    rows = jobs.featured_rows(spark, sf_dir, "train", "test")
+    return jobs.weather_hour_risk(rows, F.col("split") == "train").where(F.col("split") == "test")
 
 
 @query
@@ -637,7 +636,7 @@ def permutation_importance(spark, sf_dir):
 
 @query
 def feature_drift_ks(spark, sf_dir):
-    found = drift.feature_drift_ks(jobs.labelled_table(spark, sf_dir))
+    found = drift.feature_drift_ks(jobs.featured_rows(spark, sf_dir, "train", "production"))
     return rounded(found.select("feature", "n_first", "n_second", "ks_statistic"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -51,14 +52,15 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return featured_rows(spark, sf_dir, "train")
 
 
-def featured_rows(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
-    """Rows of one split, as a range on the timestamp that the scan can use."""
-    labelled = features.risk_label(featured_table(spark, sf_dir))
+def featured_rows(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
+    """Rows of the given splits, chosen by ranges on the timestamp that the scan can use."""
     ts = F.col("date_time")
-    if part == "train":
-        return labelled.where(cal.through_year(ts, TRAIN_THROUGH))
-    year = TEST_YEAR if part == "test" else PRODUCTION_YEAR
-    return labelled.where(cal.years_between(ts, year, year))
+    ranges = {
+        "train": cal.through_year(ts, TRAIN_THROUGH),
+        "test": cal.years_between(ts, TEST_YEAR, TEST_YEAR),
+        "production": cal.years_between(ts, PRODUCTION_YEAR, PRODUCTION_YEAR),
+    }
+    return labelled_table(spark, sf_dir).where(reduce(lambda a, b: a | b, [ranges[p] for p in parts]))
 
 
 def trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec) -> PipelineModel:
@@ -93,12 +95,13 @@ def weather_hour_risk(labelled: DataFrame, fit_on) -> DataFrame:
 def monitored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training and production rows with ``part`` (fit / holdout / production) and the baseline
     prediction fitted on the ``fit`` rows."""
-    labelled = labelled_table(spark, sf_dir)
-    train = splits.holdout_tail(labelled.where(F.col("split") == "train"))
-    both = train.unionByName(labelled.where(F.col("split") == "production").withColumn("part", F.lit("production")))
+    train = splits.holdout_tail(featured_rows(spark, sf_dir, "train"))
+    production = featured_rows(spark, sf_dir, "production").withColumn("part", F.lit("production"))
+    both = train.unionByName(production)
     return hour_day_prediction(both, F.col("part") == "fit")
 
 
 def monitoring_checks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = monitored(spark, sf_dir)
-    return drift.feature_drift_ks(labelled_table(spark, sf_dir)), drift.prediction_error_drift(rows, "traffic_volume")
+    compared = featured_rows(spark, sf_dir, "train", "production")
+    return drift.feature_drift_ks(compared), drift.prediction_error_drift(rows, "traffic_volume")
