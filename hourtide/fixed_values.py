@@ -24,6 +24,7 @@ RAW_SCHEMA = T.StructType(
 )
 RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 # Columns with imputable nulls, and the label for hours without a holiday.
 NUMERIC_COLUMNS = ["temp", "rain_1h", "snow_1h", "clouds_all", "traffic_volume"]
@@ -100,6 +101,9 @@ STRONGEST_CORRELATION = "very strong"
 DAY_PARTS = [("morning", 6, 12), ("afternoon", 12, 17), ("evening", 17, 21)]
 DEFAULT_DAY_PART = "night"
 DAY_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+MONTH_NAMES = (
+    "January February March April May June July August September October November December".split()
+)
 TRAVEL_HOURS = (6, 22)
 
 # Base model inputs in order; the one-hot weather columns follow.

@@ -32,6 +32,10 @@ def day_part(hour: Column) -> Column:
     return expr.otherwise(F.lit(fv.DEFAULT_DAY_PART))
 
 
+def month_name(ts: Column) -> Column:
+    return F.get(F.array(*[F.lit(name) for name in fv.MONTH_NAMES]), F.month(ts) - 1)
+
+
 def cyclic(value: Column, period: int) -> tuple[Column, Column]:
     """(sin, cos) of the angle of ``value`` in its period."""
     angle = F.lit(2 * math.pi) * value / F.lit(float(period))
@@ -39,7 +43,8 @@ def cyclic(value: Column, period: int) -> tuple[Column, Column]:
 
 
 def _stamp(moment: dt.datetime) -> Column:
-    return F.lit(moment).cast("timestamp_ntz")
+    """A zone-less literal; going through text keeps the session's time zone out of it."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def years_between(ts: Column, first: int, last: int) -> Column:

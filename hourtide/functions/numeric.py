@@ -24,7 +24,7 @@ def positive_if(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
-def kolmogorov_tail(d: Column, n1: Column, n2: Column, terms: int = 8) -> Column:
+def kolmogorov_tail(d: Column, n1: Column, n2: Column, terms: int = 4) -> Column:
     """P(statistic >= d) under equal distributions, for the two-sample test.
 
     The limit law evaluated at a finite-sample corrected argument (J. Vrbik, 2018). Two equivalent

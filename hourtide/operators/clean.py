@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -122,11 +123,19 @@ def month_of(ts: str) -> Column:
     return F.coalesce(F.month(F.col(ts)), F.lit(1))
 
 
-def monthly_medians(df: DataFrame, columns: dict[str, Column], ts: str = "date_time") -> DataFrame:
-    """Exact median per calendar month (years pooled): at most twelve rows, ``<name>_median`` columns."""
+def monthly_medians(
+    df: DataFrame, columns: dict[str, Column], ts: str = "date_time", wanted: Column | None = None
+) -> DataFrame:
+    """Exact median per calendar month (years pooled): at most twelve rows, ``<name>_median`` columns.
+
+    ``wanted`` is a condition on ``column_`` that drops readings before they are counted; the medians of
+    the dropped columns are null.
+    """
     long = df.select(month_of(ts).alias("month_"), *[c.cast("double").alias(name) for name, c in columns.items()]).unpivot(
         ["month_"], list(columns), "column_", "reading_"
     )
+    if wanted is not None:
+        long = long.where(wanted)
     medians = quantiles(long, "reading_", {"median_": 0.5}, ["month_", "column_"])
     return medians.groupBy("month_").agg(
         *[F.max(F.when(F.col("column_") == name, F.col("median_"))).alias(f"{name}_median") for name in columns]
@@ -134,9 +143,15 @@ def monthly_medians(df: DataFrame, columns: dict[str, Column], ts: str = "date_t
 
 
 def impute_nulls(df: DataFrame, columns: list[str] | None = None, ts: str = "date_time") -> DataFrame:
-    """Nulls become the median of their calendar month. The columns widen to double: a median can be x.5."""
-    columns = [c for c in (columns or fv.NUMERIC_COLUMNS)]
-    medians = F.broadcast(monthly_medians(df, {c: F.col(c) for c in columns}, ts))
+    """Nulls become the median of their calendar month. The columns widen to double: a median can be x.5.
+
+    Null counts come first, as a one-row subquery, so that only columns with nulls have their readings
+    counted for a median.
+    """
+    columns = list(columns or fv.NUMERIC_COLUMNS)
+    nulls = df.agg(F.struct(*[positive_if(F.col(c).isNull()).alias(c) for c in columns]).alias("nulls")).scalar()
+    wanted = reduce(lambda a, b: a | b, [(F.col("column_") == c) & (nulls[c] > 0) for c in columns])
+    medians = F.broadcast(monthly_medians(df, {c: F.col(c) for c in columns}, ts, wanted))
     joined = df.withColumn("month_", month_of(ts)).join(medians, "month_", "left")
     return joined.select(
         *[F.coalesce(F.col(c).cast("double"), F.col(f"{c}_median")).alias(c) if c in columns else F.col(c) for c in df.columns]

@@ -143,7 +143,7 @@ def weekday_weekend_compare(df: DataFrame, month: int | None = None, ts: str = T
         by_month = by_month.where(F.col("month") == month)
     weekday = F.avg(F.when(F.col("is_weekend") == 0, F.col(value)))
     weekend = F.avg(F.when(F.col("is_weekend") == 1, F.col(value)))
-    return by_month.groupBy("month", F.date_format(ts, "MMMM").alias("month_name")).agg(
+    return by_month.groupBy("month", cal.month_name(F.col(ts)).alias("month_name")).agg(
         weekday.alias("weekday_avg"), weekend.alias("weekend_avg"), (weekday - weekend).alias("difference")
     )
 

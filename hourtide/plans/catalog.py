@@ -116,7 +116,7 @@ def standardise_text(spark, sf_dir):
 
 @query
 def parse_timestamps_strict(spark, sf_dir):
-    text = observations(spark, sf_dir).select("seq", F.date_format("date_time", fv.TIMESTAMP_FORMAT).alias("date_time"))
+    text = observations(spark, sf_dir).select("seq", F.col("date_time").cast("string").alias("date_time"))
     return parse_timestamps(text)
 
 

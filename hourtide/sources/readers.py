@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourtide.fixed_values import RAW_SCHEMA, TIMESTAMP_FORMAT
+from hourtide.fixed_values import RAW_SCHEMA, TIMESTAMP_FORMAT, TIMESTAMP_PATTERN
 
 
 def with_file_order(df: DataFrame, name: str = "seq") -> DataFrame:
@@ -51,9 +51,13 @@ def parse_timestamps(
     df: DataFrame, column: str = "date_time", fmt: str = TIMESTAMP_FORMAT, quarantine: bool = False
 ) -> DataFrame:
     """Text to zone-less timestamp. A value that does not parse fails the job; with ``quarantine`` it
-    becomes null and ``parse_error`` is set, so a caller can route the row aside."""
+    becomes null and ``parse_error`` is set, so a caller can route the row aside. Quarantine knows the
+    default format only: no Spark function parses leniently without going through the session's zone."""
     if quarantine:
-        return df.withColumn("parsed_", F.try_to_timestamp(F.col(column), F.lit(fmt)).cast("timestamp_ntz")).select(
+        if fmt != TIMESTAMP_FORMAT:
+            raise ValueError(f"quarantine parses {TIMESTAMP_FORMAT} only")
+        parsed = F.when(F.col(column).rlike(TIMESTAMP_PATTERN), F.col(column).try_cast("timestamp_ntz"))
+        return df.withColumn("parsed_", parsed).select(
             *[F.col("parsed_").alias(c) if c == column else F.col(c) for c in df.columns],
             (F.col("parsed_").isNull() & F.col(column).isNotNull()).alias("parse_error"),
         )

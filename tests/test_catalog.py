@@ -29,6 +29,17 @@ def test_entry_profiles_the_day(spark):
     assert out.columns == ["hour", "weekday", "weekend"] and out.count() == 24
 
 
+def test_results_do_not_depend_on_the_session_zone(spark, con, sf_dir):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for key in ("day_lookup", "parse_timestamps", "chronological_split", "weekday_weekend_compare", "coverage_gaps", "annual_trend"):
+            _, _, verdict = compare(spark, con, key, sf_dir)
+            assert verdict == "ok", f"{key}: {verdict}"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_no_python_rows_in_the_plans(spark, sf_dir):
     for key in ("timestamp_aggregate", "feature_pipeline", "association_rules", "recommendation_report", "feature_drift_ks"):
         plan = entry.queries()[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

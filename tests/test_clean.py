@@ -75,6 +75,12 @@ def test_nulls_take_the_median_of_their_month_over_all_years(raw, rows):
     assert rows(clean.impute_nulls(df), "seq", "temp", "traffic_volume")[2] == (2, 275.0, 11.5)
 
 
+def test_complete_columns_pass_through_the_imputation(raw, rows):
+    df = raw({"temp": 1.5, "date_time": H(2000, 3, 1)}, {"temp": 2.5, "date_time": H(2000, 4, 1)})
+    assert rows(clean.impute_nulls(df), "temp", "clouds_all") == [(1.5, 50.0), (2.5, 50.0)]
+    assert clean.impute_nulls(df.where("false")).count() == 0
+
+
 def test_outliers_take_the_median_of_valid_rows(raw, rows):
     df = raw(
         {"temp": 0.0, "date_time": H(2000, 3, 1)},

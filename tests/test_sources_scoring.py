@@ -14,9 +14,9 @@ from hourtide.streaming.score_stream import request_stream, start_scoring
 
 HEADER = ",".join(fv.RAW_COLUMNS)
 LINES = [
-    "None,288.28,0.0,0.0,40,Clouds,scattered clouds,2012-10-02 09:00:00,5545",
-    "Columbus Day,273.1,,0.0,1,Clear,sky is clear,2012-10-08 00:00:00,455",
-    "None,288.28,0.0,0.0,40,Clouds,scattered clouds,2012-10-02 09:00:00,5545",
+    "None,281.5,0.0,0.0,35,Clouds,thin veil,2003-05-06 09:00:00,4321",
+    "May Day,270.25,,0.0,2,Clear,blue,2003-05-01 00:00:00,321",
+    "None,281.5,0.0,0.0,35,Clouds,thin veil,2003-05-06 09:00:00,4321",
 ]
 
 
@@ -33,8 +33,8 @@ def csv_file(tmp_path):
 def test_csv_scan_is_typed_and_keeps_the_file_order(spark, csv_file):
     df = readers.read_observations_csv(spark, csv_file(LINES))
     out = df.orderBy("seq").collect()
-    assert [r["traffic_volume"] for r in out] == [5545, 455, 5545]
-    assert out[0]["holiday"] is None and out[1]["holiday"] == "Columbus Day" and out[1]["rain_1h"] is None
+    assert [r["traffic_volume"] for r in out] == [4321, 321, 4321]
+    assert out[0]["holiday"] is None and out[1]["holiday"] == "May Day" and out[1]["rain_1h"] is None
     assert df.schema["temp"].dataType.typeName() == "double"
 
 
@@ -44,7 +44,7 @@ def test_literal_none_can_stay_text(spark, csv_file):
 
 
 def test_bad_number_and_missing_file_fail(spark, csv_file):
-    bad = csv_file([LINES[0].replace("5545", "many")])
+    bad = csv_file([LINES[0].replace("4321", "many")])
     with pytest.raises(Exception):
         readers.read_observations_csv(spark, bad).collect()
     with pytest.raises(Exception, match="(?i)path"):
@@ -55,7 +55,7 @@ def test_file_order_spans_files(spark, tmp_path, csv_file):
     csv_file([LINES[1]] * 1, "b.csv")
     csv_file([LINES[0]] * 50, "a.csv")
     df = readers.read_observations_csv(spark, str(tmp_path / "*.csv"))
-    assert df.orderBy("seq").collect()[-1]["holiday"] == "Columbus Day"
+    assert df.orderBy("seq").collect()[-1]["holiday"] == "May Day"
 
 
 def test_csv_to_cleaned_to_featured(spark, csv_file, tmp_path):
@@ -71,9 +71,9 @@ def test_csv_to_cleaned_to_featured(spark, csv_file, tmp_path):
 
 
 def test_quarantine_mode_keeps_bad_timestamps_apart(spark):
-    df = spark.createDataFrame([("2000-01-01 00:00:00",), ("yesterday",), (None,)], "date_time string")
+    df = spark.createDataFrame([("2000-01-01 00:00:00",), ("yesterday",), ("2000-13-01 00:00:00",), ("2000-1-1",), (None,)], "date_time string")
     out = readers.parse_timestamps(df, quarantine=True).collect()
-    assert sorted(r["parse_error"] for r in out) == [False, False, True]
+    assert sorted(r["parse_error"] for r in out) == [False, False, True, True, True]
     assert sum(r["date_time"] is not None for r in out) == 1
 
 
