@@ -223,20 +223,15 @@ def quality_log(df: DataFrame, order: str = "seq") -> DataFrame:
         ),
     )
     distinct = write_stage(deduplicated(df, order), "distinct")
-    kept = distinct.agg(F.count(F.lit(1)).alias("rows_distinct"))
     hourly = timestamp_aggregate(distinct, order=order)
-    flags = outlier_flags()
     found = hourly.agg(
-        F.count(F.lit(1)).alias("rows_out"), *[positive_if(flag).alias(f"outliers_{c}") for c, flag in flags.items()]
-    )
-    raw_long = raw.unpivot([], raw.columns, "metric", "value")
-    kept_long = kept.select(
-        F.lit("exact_duplicates").alias("metric"),
-        (raw.select("rows_in").scalar() - F.col("rows_distinct")).alias("value"),
+        F.count(F.lit(1)).alias("rows_out"),
+        *[positive_if(flag).alias(f"outliers_{c}") for c, flag in outlier_flags().items()],
     )
     repeats = repeat_profile(distinct)
-    repeats_long = repeats.unpivot([], repeats.columns, "metric", "value")
-    found_long = found.unpivot([], found.columns, "metric", "value")
+    kept = distinct.agg(F.count(F.lit(1)).alias("kept")).scalar()
+    counted = raw.withColumn("exact_duplicates", F.col("rows_in") - kept)
+    parts = [part.unpivot([], part.columns, "metric", "value") for part in (counted, repeats, found)]
     metric, value = F.col("metric"), F.col("value")
     step = (
         F.when(metric == "rows_in", F.lit("load"))
@@ -248,9 +243,7 @@ def quality_log(df: DataFrame, order: str = "seq") -> DataFrame:
     )
     quiet = metric.isin("rows_in", "rows_out", "nulls_holiday")
     return (
-        raw_long.unionByName(kept_long)
-        .unionByName(repeats_long)
-        .unionByName(found_long)
+        reduce(DataFrame.unionByName, parts)
         .select(
             step.alias("step"),
             F.when(~quiet & (value > 0), F.lit("WARNING")).otherwise(F.lit("INFO")).alias("level"),

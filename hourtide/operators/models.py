@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
-from hourtide.operators.ranks import estimated_bytes
+from hourtide.operators.ranks import input_bytes
 from hourtide.operators.metrics import classification_metrics, regression_metrics
 from hourtide.operators.splits import with_class_weights
 
@@ -154,7 +154,7 @@ def permutation_importance(
     the input. All features share the permutation and one scoring pass.
     """
     if buckets is None:
-        buckets = max(64, estimated_bytes(df) // BUCKET_BYTES)
+        buckets = max(64, input_bytes(df) // BUCKET_BYTES)
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
     base = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in features]).withColumn("bucket_", bucket)
     hashed = F.xxhash64(F.lit(seed), key)

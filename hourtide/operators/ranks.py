@@ -2,7 +2,7 @@
 
 Values are first reduced to (value, count), spread over all tasks by value with map-side combine, so a
 group holding a third of the table costs one row per distinct reading. What follows depends on the
-planner's size estimate of the input:
+size of the input files:
 
 * small: the distinct values of a group are ordered in one task;
 * large: the counts are written once to the shared folder, since three passes read them. They are split
@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from hourtide.sources.stages import write_stage
 
-# Input estimated below this many bytes has few enough distinct values for one task per group.
+# Input below this many bytes has few enough distinct values for one task per group.
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
 # Values per group that choose the bounds. Spark pushes row_number limits up to 1000 below the shuffle.
 SAMPLE_ROWS = 1000
@@ -30,13 +30,15 @@ MOST_BUCKETS = 250
 ROWS_PER_BUCKET = 1_000_000
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate (file sizes at the leaves); no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of everything the frame reads: the planner's estimates of the leaves, file sizes for tables.
+    No job runs. Estimates further up are not used, since the planner multiplies sizes at a join."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def needs_spread(df: DataFrame) -> bool:
-    return estimated_bytes(df) > SMALL_INPUT_BYTES
+    return input_bytes(df) > SMALL_INPUT_BYTES
 
 
 def running_totals(

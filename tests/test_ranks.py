@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hourtide.operators.ranks import estimated_bytes, quantiles, running_totals
+from hourtide.operators.ranks import input_bytes, quantiles, running_totals
 
 
 def skewed(spark, n=4000):
@@ -68,4 +68,6 @@ def test_spread_plan_has_no_global_sort_of_values(spark):
 
 def test_size_estimate_follows_the_files(spark, sf_dir):
     small = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    assert 0 < estimated_bytes(small) < 10_000_000
+    assert 0 < input_bytes(small) < 10_000_000
+    joined = small.join(small.groupBy("o_custkey").count(), "o_custkey", "left")
+    assert input_bytes(joined) == 2 * input_bytes(small)
