@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hourtide import fixed_values as fv
@@ -212,6 +212,14 @@ def clean(
     return impute_outliers(stage(timestamp_aggregate(distinct, order=order), "per-timestamp"))
 
 
+def with_counts(df: DataFrame, observation: Observation) -> DataFrame:
+    """Row and null counts of ``df`` as a side result of the action that writes it, without a pass of
+    their own. Read them from ``observation.get`` after the action."""
+    return df.observe(
+        observation, F.count(F.lit(1)).alias("rows"), *[positive_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns]
+    )
+
+
 def quality_log(df: DataFrame, order: str = "seq") -> DataFrame:
     """(step, level, metric, value): what each cleaning step finds and changes."""
     raw = df.agg(

@@ -12,9 +12,12 @@ from hourtide.fixed_values import RAW_SCHEMA, TIMESTAMP_FORMAT, TIMESTAMP_PATTER
 def with_file_order(df: DataFrame, name: str = "seq") -> DataFrame:
     """Add an ordering column that follows (file, position in file).
 
-    Spark packs files into tasks by size, so a bare row id does not follow the file order. The id does
-    grow within one split, and splits are ordered by file name and start offset.
+    The splits of one file are scheduled in order, so its row id alone follows the file: a number, which
+    keeps the minimum per group in a hash aggregate. Several files are packed into tasks by size; there
+    the column is (file, start of the split, row id).
     """
+    if len(df.inputFiles()) == 1:
+        return df.withColumn(name, F.monotonically_increasing_id())
     return df.withColumn(
         name,
         F.struct(

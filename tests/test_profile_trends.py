@@ -52,6 +52,12 @@ def test_sample_is_exact_and_repeatable(spark):
     assert profile.sample_n(df, ["id"], 5000).count() == 1000
 
 
+def test_distinct_count_exact_and_estimated(spark):
+    df = spark.range(1000).selectExpr("id % 200 as date_time")
+    assert profile.unique_values(df).first()[0] == 200
+    assert abs(profile.unique_values(df, approximate=True).first()[0] - 200) <= 20
+
+
 def test_day_lookup_rejects_a_bad_date_and_pushes_the_range(spark, tmp_path):
     with pytest.raises(ValueError, match="not a date"):
         cal.on_day(F.col("date_time"), "1997-15-06")

@@ -34,6 +34,7 @@ def test_csv_scan_is_typed_and_keeps_the_file_order(spark, csv_file):
     df = readers.read_observations_csv(spark, csv_file(LINES))
     out = df.orderBy("seq").collect()
     assert [r["traffic_volume"] for r in out] == [4321, 321, 4321]
+    assert dict(df.dtypes)["seq"] == "bigint"
     assert out[0]["holiday"] is None and out[1]["holiday"] == "May Day" and out[1]["rain_1h"] is None
     assert df.schema["temp"].dataType.typeName() == "double"
 
@@ -56,6 +57,20 @@ def test_file_order_spans_files(spark, tmp_path, csv_file):
     csv_file([LINES[0]] * 50, "a.csv")
     df = readers.read_observations_csv(spark, str(tmp_path / "*.csv"))
     assert df.orderBy("seq").collect()[-1]["holiday"] == "May Day"
+    assert clean.clean(df).count() == 2
+
+
+def test_split_file_keeps_its_order(spark, csv_file):
+    lines = [f"None,281.5,0.0,0.0,35,Clouds,text,2003-05-06 09:00:00,{i}" for i in range(5000)]
+    path = csv_file(lines, "long.csv")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = readers.read_observations_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 3
+        assert [r["traffic_volume"] for r in df.orderBy("seq").select("traffic_volume").collect()] == list(range(5000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
 def test_csv_to_cleaned_to_featured(spark, csv_file, tmp_path):
