@@ -10,11 +10,12 @@ from hourtide import fixed_values as fv
 
 def lookup(key: Column, mapping: dict, default) -> Column:
     """``mapping[key]`` with a default for keys that are unknown or null."""
-    entries = ", ".join(_literal(x) for pair in mapping.items() for x in pair)
+    entries = ", ".join(sql_literal(x) for pair in mapping.items() for x in pair)
     return F.coalesce(F.expr(f"map({entries})")[key], F.lit(default))
 
 
-def _literal(value) -> str:
+def sql_literal(value) -> str:
+    """A text or number as SQL."""
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     return str(value)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hourtide import fixed_values as fv
 from hourtide.functions import calendar as cal
-from hourtide.functions.lookups import low_visibility, member_flag, quartile_category, weather_severity
+from hourtide.functions.lookups import low_visibility, member_flag, quartile_category, sql_literal, weather_severity
 from hourtide.operators.ranks import quantiles
 
 
@@ -38,8 +38,8 @@ def holiday_flag(df: DataFrame, ts: str = "date_time", holiday: str = "holiday")
 
 def one_hot_weather(df: DataFrame, categories: list[str] | None = None, column: str = "weather_main") -> DataFrame:
     """A 0/1 column per category. The category list is given, so the schema does not depend on the data."""
-    return df.select(
-        "*", *[F.coalesce((F.col(column) == c).cast("int"), F.lit(0)).alias(f"weather_{c}") for c in categories or fv.WEATHER_CATEGORIES]
+    return df.selectExpr(
+        "*", *[f"int(`{column}` <=> {sql_literal(c)}) AS `weather_{c}`" for c in categories or fv.WEATHER_CATEGORIES]
     )
 
 

@@ -31,9 +31,9 @@ ROWS_PER_BUCKET = 1_000_000
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of everything the frame reads: the planner's estimates of the leaves, file sizes for tables.
-    No job runs. Estimates further up are not used, since the planner multiplies sizes at a join."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    """Size of everything the frame reads: the estimates of the plan's leaves, file sizes for tables. No
+    job runs. Estimates further up are not used, since the planner multiplies sizes at a join."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
