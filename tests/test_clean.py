@@ -2,7 +2,6 @@ import datetime as dt
 
 import pandas as pd
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from hourtide import fixed_values as fv
@@ -147,12 +146,6 @@ def test_timestamp_aggregate_equals_a_row_loop(spark, sf_dir):
         )
 
 
-def test_counts_come_with_the_write(spark, raw, tmp_path):
-    seen = Observation("cleaned")
-    clean.with_counts(clean.clean(raw({}, {"temp": None, "date_time": H(2001, 7, 1)})), seen).write.parquet(str(tmp_path / "c"))
-    assert seen.get["rows"] == 2 and seen.get["nulls_temp"] == 1
-
-
 def test_hot_timestamp_keeps_every_description(spark, raw):
     """Half of the rows share one timestamp; the list per timestamp holds distinct texts only."""
     hot = spark.range(3000).selectExpr(
