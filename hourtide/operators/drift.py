@@ -18,7 +18,6 @@ def feature_drift_ks(
     second: str = "production",
     alpha: float = fv.DRIFT_ALPHA,
     min_statistic: float = 0.0,
-    spread: bool | None = None,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov check per feature.
 
@@ -34,7 +33,7 @@ def feature_drift_ks(
         .groupBy("feature", "value")
         .agg(positive_if(F.col(sample) == first).alias("a"), positive_if(F.col(sample) == second).alias("b"))
     )
-    ranked = running_totals(counts, "value", ["a", "b"], ["feature"], spread)
+    ranked = running_totals(counts, "value", ["a", "b"], ["feature"])
     gap = F.abs(
         F.try_divide(F.col("a_before") + F.col("a"), F.col("a_total")) - F.try_divide(F.col("b_before") + F.col("b"), F.col("b_total"))
     )

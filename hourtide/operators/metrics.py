@@ -42,20 +42,18 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str = "prediction")
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, spread: bool | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row: area under the ROC curve by rank sums; equal scores share their rank."""
     scored = df.groupBy(F.col(score).alias("score_")).agg(
         positive_if(F.col(label) == 1).alias("pos"), positive_if(F.col(label) == 0).alias("neg")
     )
-    ranked = running_totals(scored, "score_", ["neg", "pos"], spread=spread)
+    ranked = running_totals(scored, "score_", ["neg", "pos"])
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.max(F.col("pos_total").cast("double") * F.col("neg_total"))
     return ranked.agg(F.try_divide(wins, pairs).alias("roc_auc"))
 
 
-def classification_metrics(
-    df: DataFrame, label: str, prediction: str = "prediction", score: str = "score", spread: bool | None = None
-) -> DataFrame:
+def classification_metrics(df: DataFrame, label: str, prediction: str = "prediction", score: str = "score") -> DataFrame:
     """Accuracy, precision, recall and F1 of the positive class (0 where undefined) and ROC AUC."""
     y, p = F.col(label) == 1, F.col(prediction) == 1
     counts = df.agg(
@@ -72,7 +70,7 @@ def classification_metrics(
         ratio_or(tp, tp + fp, 0.0).alias("precision"),
         ratio_or(tp, tp + fn, 0.0).alias("recall"),
         ratio_or(2 * tp, 2 * tp + fp + fn, 0.0).alias("f1"),
-        roc_auc(df, label, score, spread).scalar().alias("roc_auc"),
+        roc_auc(df, label, score).scalar().alias("roc_auc"),
     )
 
 

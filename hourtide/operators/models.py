@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
-from hourtide.operators.ranks import input_bytes
 from hourtide.operators.metrics import classification_metrics, regression_metrics
+from hourtide.operators.ranks import running_totals
 from hourtide.operators.splits import with_class_weights
 
 SEED = 42
-BUCKET_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -144,27 +143,21 @@ def permutation_importance(
     features: list[str],
     label: str,
     key: str,
-    buckets: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """Increase of the mean absolute error when one feature at a time is permuted.
 
-    Rows swap partners within hash buckets: ranked once by key and once by a seeded hash, then matched
-    on (bucket, rank). The key is unique, so the buckets are even; their number grows with the size of
-    the input. All features share the permutation and one scoring pass.
+    The rows form one ring in the order of a seeded hash of the unique key; each takes the values of the
+    row that stands a seeded number of places further on. The permutation depends on the keys and the
+    seed alone. All features share it and one scoring pass.
     """
-    if buckets is None:
-        buckets = max(64, input_bytes(df) // BUCKET_BYTES)
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    base = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in features]).withColumn("bucket_", bucket)
-    hashed = F.xxhash64(F.lit(seed), key)
-    ranked = base.withColumn("rank_", F.expr(f"row_number() over (partition by bucket_ order by `{key}`)"))
-    partners = (
-        base.withColumn("hash_", hashed)
-        .withColumn("rank_", F.expr(f"row_number() over (partition by bucket_ order by hash_, `{key}`)"))
-        .select("bucket_", "rank_", *[F.col(f).alias(f"{f}_other_") for f in features])
-    )
-    paired = ranked.join(partners, ["bucket_", "rank_"])
+    base = df.select(key, label, *[F.col(f).cast("double").alias(f) for f in features])
+    placed = base.select("*", F.struct(F.xxhash64(F.lit(seed), key).alias("hash"), F.col(key).alias("key")).alias("place_"))
+    ring = running_totals(placed.withColumn("one_", F.lit(1)), "place_", ["one_"])
+    step = 1 + F.pmod(F.xxhash64(F.lit(seed), F.lit("step")), F.greatest(F.col("one__total") - 1, F.lit(1)))
+    ranked = ring.select(key, label, *features, F.pmod(F.col("one__before") + step, F.col("one__total")).alias("rank_"))
+    partners = ring.select(F.col("one__before").alias("rank_"), *[F.col(f).alias(f"{f}_other_") for f in features])
+    paired = ranked.join(partners, "rank_")
     each = paired.withColumn("permuted_", F.explode(F.array(F.lit(""), *[F.lit(f) for f in features])))
     swapped = each.select(
         label, "permuted_", *[F.when(F.col("permuted_") == f, F.col(f"{f}_other_")).otherwise(F.col(f)).alias(f) for f in features]

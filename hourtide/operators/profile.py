@@ -80,7 +80,7 @@ def distinct_categories(df: DataFrame, column: str = "weather_main") -> DataFram
     return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
 
 
-def descriptive_stats(df: DataFrame, column: str = "traffic_volume", spread: bool | None = None) -> DataFrame:
+def descriptive_stats(df: DataFrame, column: str = "traffic_volume") -> DataFrame:
     """Count, mean, median, sample deviation and variance, extremes and range."""
     value = F.col(column).cast("double")
     stats = df.agg(
@@ -92,7 +92,7 @@ def descriptive_stats(df: DataFrame, column: str = "traffic_volume", spread: boo
         F.max(value).alias("maximum"),
         (F.max(value) - F.min(value)).alias("value_range"),
     )
-    median = quantiles(df, column, {"median": 0.5}, spread=spread)
+    median = quantiles(df, column, {"median": 0.5})
     return stats.withColumn("median", median.scalar())
 
 

@@ -1,16 +1,10 @@
-"""Exact running totals and quantiles over distinct values.
+"""Exact running totals and quantiles over distinct values, one way for every size of input.
 
 Values are first reduced to (value, count), spread over all tasks by value with map-side combine, so a
-group holding a third of the table costs one row per distinct reading. What follows depends on the
-size of the input files:
-
-* small: the distinct values of a group are ordered in one task;
-* large: the counts are written once to the shared folder, since three passes read them. They are split
-  into ordered buckets; each bucket is summed on its own and the bucket totals, at most some hundred
-  rows per group, supply the offsets. No task sees a whole group.
-
-The bucket bounds come from the values with the smallest hashes, so they depend on the data only: the
-passes that use them (totals and running sums) agree however often Spark evaluates them.
+group holding a third of the table costs one row per distinct reading. The counts are dealt to the tasks
+by ranges of (keys, value) and written once to the shared folder with the number of their range. Each
+range is summed on its own; the sums of the ranges, one row per range and group in it, give the offsets.
+No task sees a whole group, and the ranges grow in number with the data.
 """
 
 from __future__ import annotations
@@ -21,114 +15,42 @@ from pyspark.sql.window import Window
 
 from hourtide.sources.stages import write_stage
 
-# Input below this many bytes has few enough distinct values for one task per group.
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
-# Values per group that choose the bounds. Spark pushes row_number limits up to 1000 below the shuffle.
-SAMPLE_ROWS = 1000
-BUCKETS = 64
-MOST_BUCKETS = 250
-ROWS_PER_BUCKET = 1_000_000
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of everything the frame reads: the estimates of the plan's leaves, file sizes for tables. No
-    job runs. Estimates further up are not used, since the planner multiplies sizes at a join."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
 
-def needs_spread(df: DataFrame) -> bool:
-    return input_bytes(df) > SMALL_INPUT_BYTES
-
-
-def running_totals(
-    counts: DataFrame,
-    order: str,
-    measures: list[str],
-    keys: list[str] | None = None,
-    spread: bool | None = None,
-    buckets: int | None = None,
-) -> DataFrame:
+def running_totals(counts: DataFrame, order: str, measures: list[str], keys: list[str] | None = None) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller ``order`` values) and ``<m>_total`` per group of ``keys``.
 
-    ``counts`` holds each (keys, order) once. The groups must be a bounded set (months, hours, features):
-    the broadcast sides hold at most ``buckets`` entries per group. ``spread`` overrides the size check;
-    the number of buckets follows the number of counts unless given.
+    ``counts`` holds each (keys, order) once. Runs a job: the ranges are written to the shared folder
+    when this is called, so that both passes over them see the same split.
     """
     keys = list(keys or [])
+    dealt = counts.repartitionByRange(*keys, order).withColumn("part_", F.spark_partition_id())
+    staged = write_stage(dealt, "ranges", sort_by=order)
+    sums = staged.groupBy(*keys, "part_").agg(*[F.sum(m).alias(f"{m}_sum_") for m in measures])
     whole = Window.partitionBy(*keys)
-    if not (needs_spread(counts) if spread is None else spread):
-        earlier = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(
-            "*",
-            *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"{m}_before") for m in measures],
-            *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
-        )
-
-    counts = write_stage(counts, "value-counts")
-    if buckets is None:
-        buckets = min(max(counts.count() // ROWS_PER_BUCKET, BUCKETS), MOST_BUCKETS)
-    bounds = _bucket_bounds(counts, order, keys, buckets)
-    bounded = _join_on(counts, bounds, keys) if keys else counts.withColumn("bounds_", bounds.scalar())
-    bucket = F.size(F.filter("bounds_", lambda b: b <= F.col(order)))
-    split = bounded.withColumn("bucket_", bucket).drop("bounds_")
-
-    totals = split.groupBy(*keys, "bucket_").agg(*[F.sum(m).alias(m) for m in measures])
-    lower = whole.orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        "bucket_",
-        *[F.coalesce(F.sum(m).over(lower), F.lit(0)).alias(f"{m}_offset_") for m in measures],
-        *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
+    lower = whole.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        *[F.col(k).alias(f"{k}_k") for k in keys],
+        F.col("part_").alias("part_k"),
+        *[F.coalesce(F.sum(f"{m}_sum_").over(lower), F.lit(0)).alias(f"{m}_offset_") for m in measures],
+        *[F.sum(f"{m}_sum_").over(whole).alias(f"{m}_total") for m in measures],
     )
-    local = Window.partitionBy(*keys, "bucket_").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = split.select("*", *[F.coalesce(F.sum(m).over(local), F.lit(0)).alias(f"{m}_local_") for m in measures])
-    return _join_on(summed, offsets, keys + ["bucket_"]).select(
+    inside = Window.partitionBy("part_", *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = staged.select("*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"{m}_inside_") for m in measures])
+    same = F.col("part_") == F.col("part_k")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"{key}_k"))
+    return summed.join(offsets, same).select(
         *counts.columns,
-        *[(F.col(f"{m}_offset_") + F.col(f"{m}_local_")).alias(f"{m}_before") for m in measures],
+        *[(F.col(f"{m}_offset_") + F.col(f"{m}_inside_")).alias(f"{m}_before") for m in measures],
         *[f"{m}_total" for m in measures],
     )
 
 
-def _bucket_bounds(counts: DataFrame, order: str, keys: list[str], buckets: int) -> DataFrame:
-    """One row per group: an ordered array of at most ``buckets`` - 1 bounds."""
-    hashed = F.xxhash64(order, *keys)
-    if keys:
-        smallest = Window.partitionBy(*keys).orderBy(hashed, order)
-        sample = counts.withColumn("pick_", F.row_number().over(smallest)).where(F.col("pick_") <= SAMPLE_ROWS)
-    else:
-        sample = counts.orderBy(hashed, order).limit(SAMPLE_ROWS)
-    thinned = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(buckets - 1)),
-            lambda i: F.get("drawn_", F.floor(i * F.size("drawn_") / buckets).cast("int")),
-        )
-    )
-    drawn = sample.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("drawn_"))
-    return drawn.select(*keys, thinned.alias("bounds_"))
-
-
-def _join_on(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Null-safe equi-join with a small keyed table (at most a few dozen rows per group)."""
-    renamed = small.select(*[F.col(c).alias(f"{c}_k") if c in keys else F.col(c) for c in small.columns])
-    condition = None
-    for key in keys:
-        match = F.col(key).eqNullSafe(F.col(f"{key}_k"))
-        condition = match if condition is None else condition & match
-    return left.join(F.broadcast(renamed), condition, "inner").drop(*[f"{k}_k" for k in keys])
-
-
-def quantiles(
-    df: DataFrame,
-    value: str,
-    probabilities: dict[str, float],
-    keys: list[str] | None = None,
-    spread: bool | None = None,
-    buckets: int | None = None,
-) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], keys: list[str] | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group: one column per entry of ``probabilities``.
 
-    Nulls are ignored. Without ``keys`` the result is one row, null if there is no value.
+    Nulls are ignored. Without ``keys`` the result is one row, null if there is no value. Runs the job of
+    ``running_totals``.
     """
     keys = list(keys or [])
     counts = (
@@ -136,12 +58,7 @@ def quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("value_"))
         .agg(F.count(F.lit(1)).alias("n_"))
     )
-    if not (needs_spread(df) if spread is None else spread):
-        asked = F.array(*[F.lit(float(p)) for p in probabilities.values()])
-        found = counts.groupBy(*keys).agg(F.percentile("value_", asked, F.col("n_")).alias("found_"))
-        return found.select(*keys, *[F.get("found_", F.lit(i)).alias(name) for i, name in enumerate(probabilities)])
-
-    ranked = running_totals(counts, "value_", ["n_"], keys, True, buckets)
+    ranked = running_totals(counts, "value_", ["n_"], keys)
 
     def at(position):
         inside = (F.col("n__before") <= position) & (position < F.col("n__before") + F.col("n_"))

@@ -30,7 +30,7 @@ def split_counts(df: DataFrame, ts: str = TS) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_record"), F.max(ts).alias("last_record"))
 
 
-def holdout_tail(df: DataFrame, fraction: float = 0.2, ts: str = TS, tie: str | None = None, spread: bool | None = None) -> DataFrame:
+def holdout_tail(df: DataFrame, fraction: float = 0.2, ts: str = TS, tie: str | None = None) -> DataFrame:
     """Add ``part``: the last ``fraction`` of the rows in time order is the holdout (rounded up), the
     rest is for fitting. ``tie`` orders rows that share a timestamp; without it the timestamp is unique.
 
@@ -38,7 +38,7 @@ def holdout_tail(df: DataFrame, fraction: float = 0.2, ts: str = TS, tie: str |
     """
     order = F.struct(ts, tie) if tie else F.col(ts)
     counts = df.groupBy(order.alias("order_")).agg(F.count(F.lit(1)).alias("n_"))
-    ranked = running_totals(counts, "order_", ["n_"], spread=spread)
+    ranked = running_totals(counts, "order_", ["n_"])
     kept = F.col("n__total") - F.ceil(F.col("n__total") * F.lit(fraction))
     cut = ranked.where(F.col("n__before") + F.col("n_") <= kept).agg(F.max("order_").alias("cut")).scalar()
     return df.withColumn("part", F.when(order <= cut, "fit").otherwise("holdout"))

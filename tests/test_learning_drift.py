@@ -22,9 +22,8 @@ def stamps(spark, n, per_stamp=1):
 
 
 @pytest.mark.parametrize("n", [1, 4, 10, 101])
-@pytest.mark.parametrize("spread", [False, True])
-def test_holdout_is_the_last_fifth_rounded_up(spark, n, spread):
-    out = splits.holdout_tail(stamps(spark, n), spread=spread).collect()
+def test_holdout_is_the_last_fifth_rounded_up(spark, n):
+    out = splits.holdout_tail(stamps(spark, n)).collect()
     held = sorted(r["id"] for r in out if r["part"] == "holdout")
     assert held == list(range(n - math.ceil(0.2 * n), n))
 
@@ -58,10 +57,9 @@ def scored(spark, n=600, ties=11):
     return spark.createDataFrame([(y, s, int(s > 0.5)) for y, s in data], "y int, score double, prediction int")
 
 
-@pytest.mark.parametrize("spread", [False, True])
-def test_auc_agrees_with_mllib_and_pairs(spark, spread):
+def test_auc_agrees_with_mllib_and_pairs(spark):
     df = scored(spark)
-    ours = metrics.roc_auc(df, "y", "score", spread).first()["roc_auc"]
+    ours = metrics.roc_auc(df, "y", "score").first()["roc_auc"]
     judge = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="y", numBins=0)
     assert ours == pytest.approx(judge.evaluate(df.withColumn("y", F.col("y").cast("double"))))
     pos = [r["score"] for r in df.collect() if r["y"] == 1]
@@ -103,16 +101,15 @@ def two_samples(spark, a, b):
     )
 
 
-@pytest.mark.parametrize("spread", [False, True])
-def test_ks_equals_brute_force(spark, spread):
+def test_ks_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     a, b = np.round(rng.normal(0, 1, 300), 1), np.round(rng.normal(0.2, 1, 170), 1)
     grid = np.concatenate([a, b])
     expected = max(abs((a <= v).mean() - (b <= v).mean()) for v in grid)
-    row = drift.feature_drift_ks(two_samples(spark, a, b), ["x"], spread=spread).first()
+    row = drift.feature_drift_ks(two_samples(spark, a, b), ["x"]).first()
     assert row["ks_statistic"] == pytest.approx(expected, abs=1e-12)
     assert (row["n_first"], row["n_second"]) == (300, 170)
-    turned = drift.feature_drift_ks(two_samples(spark, b, a), ["x"], spread=spread).first()
+    turned = drift.feature_drift_ks(two_samples(spark, b, a), ["x"]).first()
     assert turned["ks_statistic"] == pytest.approx(expected, abs=1e-12)
 
 
@@ -201,7 +198,7 @@ def test_boosting_beats_the_mean_and_is_stored(spark, sf_dir, tmp_path):
     assert mae < 0.7 * test.agg(F.avg(F.abs(F.col("traffic_volume") - mean))).first()[0]
     ranked = models.feature_importance(model, names, spark, 5).collect()
     assert len(ranked) == 5 and ranked[0]["importance"] >= ranked[-1]["importance"]
-    effect = models.permutation_importance(model, test, names, "traffic_volume", "date_time", buckets=8)
+    effect = models.permutation_importance(model, test, names, "traffic_volume", "date_time")
     found = {r["feature"]: r["increase"] for r in effect.collect()}
     assert set(found) == set(names) and max(found, key=found.get) in ("hour_sin", "hour_cos")
     assert abs(found["is_snowy"] if "is_snowy" in found else 0.0) < 50
@@ -211,7 +208,7 @@ def test_permutation_covers_every_row_once(spark, sf_dir):
     """An unused feature changes nothing, and the base error is the plain error of the model."""
     train = jobs.training_rows(spark, sf_dir).withColumn("constant", F.lit(1.0))
     model = models.fit(models.GBT.with_params(maxIter=1), train, ["hour_sin", "hour_cos", "constant"])
-    effect = models.permutation_importance(model, train, ["hour_sin", "hour_cos", "constant"], "traffic_volume", "date_time", 4)
+    effect = models.permutation_importance(model, train, ["hour_sin", "hour_cos", "constant"], "traffic_volume", "date_time")
     rows = {r["feature"]: r for r in effect.collect()}
     plain = models.evaluate(models.GBT, model, train).first()["mae"]
     assert rows["constant"]["increase"] == pytest.approx(0.0, abs=1e-9)
