@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourtide.llm import grace_dedup, hilbert, host_reputation, licences, mixing
+from hourtide.llm import decontaminate, grace_dedup, hilbert, host_reputation, licences, mixing, packing, pitman_yor, simhash, toxicity
 from hourtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,16 +23,41 @@ def op1_grace_dedup(spark, sf_dir):
     return grace_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_simhash_groups(spark, sf_dir):
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_host_reputation(spark, sf_dir):
     return host_reputation.judge(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_packed_tokens(spark, sf_dir):
+    return packing.pack_tokens(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_hilbert_shards(spark, sf_dir):
     return hilbert.shard_by_curve(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_pitman_yor_scores(spark, sf_dir):
+    return pitman_yor.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_prefix_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
+
+
+@query
+def op8_nearest_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("mark")
+
+
 @query
 def op9_source_mix(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
@@ -54,5 +79,6 @@ with texts as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256, n_chars from ranked
 """
 ORACLE["op3_host_reputation"] = host_reputation.SQL
+ORACLE["op7_prefix_decontamination"] = decontaminate.SQL
 ORACLE["op9_source_mix"] = mixing.SQL
 ORACLE["op10_licence_scan"] = licences.SQL
