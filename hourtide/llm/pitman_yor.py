@@ -20,10 +20,11 @@ answers need no keys:
 4. the parent's customers by word: their seating, answers to the blocks;
 5. blocks: probabilities of their texts.
 
-One sweep removes the customers of each word of a restaurant and seats them again, one after the other,
-by the predictive rule, with the tables of all other words and the parent's probabilities held; customers
-far down a long queue are seated in groups of an eighth of those before them. Restaurants are swept in
-parallel. The parent's probabilities while contexts are seated are those of the word counts.
+One sweep removes every customer and seats them again by the predictive rule: at a new table with weight
+(strength + discount * tables of the restaurant) * the parent's probability, else at one of the dish's own
+tables. Which tables are left empty follows from the number of tables with one customer, given the dish's
+customers and tables. Dishes are swept in parallel, and of dishes with over eight customers an eighth at a
+time. The parent's probabilities while contexts are seated are those of the word counts.
 
 Every table written in between grows in proportion to the texts. Totals (words, distinct words, tables of
 the most frequent contexts) are all that reaches the driver.
@@ -58,8 +59,8 @@ PARENT_LAW = (0.6, 20.0)
 HOT_SHARE = 1 / 1000
 BLOCK_TOKENS = 1 << 20
 BUCKET_ENTRIES = 1 << 21
-#: Customers seated one by one before they are seated in groups.
-SINGLY = 48
+#: Parts in which the customers of a dish are seated again.
+ROUNDS = 8
 #: No word is spelled as a blank, so its hash stands for the end of a text.
 END = b" "
 #: The number of the context at the beginning of a text.
@@ -109,33 +110,53 @@ def joined(pdf: pd.DataFrame, kind: str) -> list[np.ndarray]:
 # --- seating ----------------------------------------------------------------------------------------
 
 
-def seat(customers: np.ndarray, tables_before: np.ndarray, parent: np.ndarray, law: tuple[float, float], rng) -> np.ndarray:
-    """Tables of each dish when its customers sit down one after the other. ``tables_before``: all tables
-    of the dish's restaurant without this dish's; ``parent``: the dish's probability above."""
+def single_tables(discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """(logarithm of the mean table size, share of tables with one customer) for ascending sizes.
+
+    Given their number, the tables of a dish are as independent draws of a size with generating function
+    1 - (1 - z) ** discount, at the z that gives the mean size: the saddle point of the Stirling numbers.
+    """
+    a = np.geomspace(1e-6, 200, 2000)
+    phi, z = -np.expm1(-a * discount), -np.expm1(-a)
+    return np.log(discount * z / phi) + a * (1 - discount), discount * z / phi
+
+
+def sweep(customers, tables, fixed, restaurant, share, parent, law, rng, singles) -> np.ndarray:
+    """Remove and seat again every customer of dishes with two or more, an eighth of a dish's at a time (one
+    by one for the first eight). A customer who leaves takes the table along if alone there."""
     discount, strength = law
-    tables = (customers > 0).astype(np.int64)
-    active = np.flatnonzero(customers > 1)
-    seated = 1
-    while len(active):
-        group = 1 if seated < SINGLY else seated // 8
-        now = np.minimum(group, customers[active] - seated)
-        new = (strength + discount * (tables_before[active] + tables[active])) * parent[active]
-        chance = new / (new + seated - discount * tables[active])
-        tables[active] += (rng.random(len(active)) < chance) if group == 1 else rng.binomial(now, np.clip(chance, 0, 1))
-        seated += group
-        active = active[customers[active] > seated]
+    for _ in range(ROUNDS):
+        leaving = -(-customers // ROUNDS)
+        whole = ((np.bincount(restaurant, weights=tables, minlength=len(share)) + fixed) / share)[restaurant]
+        alone = tables * np.interp(np.log(customers / tables), *singles)
+        alone = np.minimum(alone, np.where(tables < customers, tables - 1, tables)) / customers
+        lost = np.minimum(rng.binomial(leaving, np.clip(alone, 0, 1)), tables - 1)
+        left = np.minimum(tables - lost, customers - leaving)
+        # Those who sit down later find the earlier ones seated: half of them on average.
+        half, opened = (leaving - 1) / 2, 0.0
+        for _ in range(2):
+            new = np.maximum(strength + discount * (whole - tables + left + opened), 0) * parent
+            joined = np.maximum(customers - leaving + half - discount * (left + opened), 0)
+            chance = new / np.maximum(new + joined, 1e-300)
+            opened = half * chance
+        tables = left + rng.binomial(leaving, np.clip(chance, 0, 1))
     return tables
 
 
 def seatings(customers: np.ndarray, restaurant: np.ndarray, share: np.ndarray, parent: np.ndarray, law, rng, samples: int, burn_in: int):
     """(tables, tables per restaurant) of each kept sweep. ``restaurant`` numbers each dish's restaurant,
-    ``share`` is the part of its customers that is here."""
-    n = len(share)
+    ``share`` is the part of its customers that is here; ``parent`` is the dish's probability above."""
+    n, several = len(share), np.flatnonzero(customers > 1)
     tables, kept = (customers > 0).astype(np.int64), []
-    for sweep in range(burn_in + samples):
-        whole = np.bincount(restaurant, weights=tables, minlength=n) / share
-        tables = seat(customers, np.maximum(whole[restaurant] - tables, 0), parent, law, rng)
-        if sweep >= burn_in:
+    # A dish with one customer has one table, whatever else is drawn.
+    fixed = np.bincount(restaurant, weights=customers == 1, minlength=n)
+    singles = single_tables(law[0])
+    own = tables[several]
+    for number in range(burn_in + samples):
+        own = sweep(customers[several], own, fixed, restaurant[several], share, parent[several], law, rng, singles)
+        if number >= burn_in:
+            tables = tables.copy()
+            tables[several] = own
             kept.append((tables, np.bincount(restaurant, weights=tables, minlength=n)))
     return kept
 

@@ -113,33 +113,41 @@ def test_texts_share_the_whole_probability(spark):
 
 
 def plain_seating(customers, parent, law, sweeps, rng):
-    """One customer at a time, with the same rule: the mean number of tables per dish."""
+    """One customer at a time over explicit tables: the mean number of tables per dish."""
     d, s = law
-    tables = {w: 1 for w in customers}
+    tables = {w: [c] for w, c in customers.items()}
     kept = Counter()
     for sweep in range(sweeps):
         for w, c in customers.items():
-            others = sum(tables.values()) - tables[w]
-            t = 1
-            for seated in range(1, c):
-                new = (s + d * (others + t)) * parent[w]
-                t += rng.random() < new / (new + seated - d * t)
-            tables[w] = t
-            kept[w] += t / sweeps
+            for _ in range(c):
+                at = rng.choices(range(len(tables[w])), weights=tables[w])[0]
+                tables[w][at] -= 1
+                if not tables[w][at]:
+                    tables[w].pop(at)
+                new = (s + d * sum(map(len, tables.values()))) * parent[w]
+                weights = [n - d for n in tables[w]] + [new]
+                at = rng.choices(range(len(weights)), weights=weights)[0]
+                if at == len(tables[w]):
+                    tables[w].append(0)
+                tables[w][at] += 1
+            if sweep >= sweeps // 4:
+                kept[w] += len(tables[w]) / (sweeps - sweeps // 4)
     return kept
 
 
-def test_seatings_follow_the_seating_rule():
-    customers = {0: 40, 1: 5, 2: 1, 3: 300}
-    parent = {0: 0.3, 1: 0.05, 2: 0.001, 3: 0.6}
+@pytest.mark.parametrize("law", [(0.75, 2.0), (0.4, 5.0)])
+def test_seatings_follow_plain_gibbs_sampling(law):
+    customers = {0: 40, 1: 5, 2: 1, 3: 300, 4: 2}
+    parent = {0: 0.3, 1: 0.05, 2: 0.001, 3: 0.6, 4: 0.04}
     rng = np.random.default_rng(1)
     many = 300
-    wide = np.tile(np.array([customers[i] for i in range(4)]), many)
-    restaurant = np.repeat(np.arange(many), 4)
-    kept = pitman_yor.seatings(wide, restaurant, np.ones(many), np.tile([parent[i] for i in range(4)], many), (0.75, 2.0), rng, 1, 4)
-    mean = kept[0][0].reshape(many, 4).mean(axis=0)
-    plain = plain_seating(customers, parent, (0.75, 2.0), 400, random.Random(2))
-    assert mean[2] == 1 and all(mean[i] == pytest.approx(plain[i], rel=0.1) for i in range(4))
+    wide = np.tile(np.array([customers[i] for i in range(5)]), many)
+    restaurant = np.repeat(np.arange(many), 5)
+    kept = pitman_yor.seatings(wide, restaurant, np.ones(many), np.tile([parent[i] for i in range(5)], many), law, rng, 2, 20)
+    mean = np.mean([t.reshape(many, 5).mean(axis=0) for t, _ in kept], axis=0)
+    plain = plain_seating(customers, parent, law, 300, random.Random(2))
+    print(mean, plain)
+    assert mean[2] == 1 and all(mean[i] == pytest.approx(plain[i], rel=0.15) for i in range(5))
 
 
 def test_arrays_survive_transit():
