@@ -85,20 +85,26 @@ def timestamp_aggregate(
     """One row per timestamp.
 
     Means of the readings, the first holiday and volume, the most severe category (the first on a tie),
-    the distinct descriptions in first-seen order, and the number of rows. A first level groups by
-    timestamp and description, so the list built per timestamp holds distinct descriptions only and a
-    crowded timestamp is combined before and after the first shuffle.
+    the distinct descriptions in first-seen order, and the number of rows. The first level, over the raw
+    rows, groups by everything that is not averaged and keeps numbers only, so it stays in a hash map; the
+    smallest structs are picked over what it leaves. The second groups by timestamp and description, so
+    the list built per timestamp holds distinct descriptions only.
     """
-    first = F.struct(F.col(order), F.col("holiday"), F.col("traffic_volume"))
-    worst = F.struct((-weather_severity(F.col("weather_main"))).alias("rank_"), F.col(order), F.col("weather_main"))
-    by_text = df.groupBy(ts, "weather_description").agg(
+    by_values = df.groupBy(ts, "weather_description", "holiday", "weather_main", "traffic_volume").agg(
         F.min(order).alias("seen_"),
-        F.min(first).alias("first_"),
-        F.min(worst).alias("worst_"),
         F.count(F.lit(1)).alias("rows_"),
         *[F.sum(c).alias(f"{c}_sum_") for c in means],
         *[F.count(c).alias(f"{c}_n_") for c in means],
     )
+    first = F.struct(F.col("seen_"), F.col("holiday"), F.col("traffic_volume"))
+    worst = F.struct((-weather_severity(F.col("weather_main"))).alias("rank_"), F.col("seen_"), F.col("weather_main"))
+    by_text = by_values.groupBy(ts, "weather_description").agg(
+        F.min("seen_").alias("seen_"),
+        F.min(first).alias("first_"),
+        F.min(worst).alias("worst_"),
+        F.sum("rows_").alias("rows_"),
+        *[F.sum(f"{c}_{x}_").alias(f"{c}_{x}_") for c in means for x in ("sum", "n")],
+    )
     texts = F.array_sort(F.collect_list(F.struct("seen_", "weather_description")))
     per_ts = by_text.groupBy(ts).agg(
         F.min("first_").alias("first_"),

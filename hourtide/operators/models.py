@@ -19,6 +19,7 @@ from hourtide.operators.ranks import running_totals
 from hourtide.operators.splits import with_class_weights
 
 SEED = 42
+PARTITION_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -69,15 +70,14 @@ def pipeline(spec: ModelSpec, features: list[str], train_rows: int | None = None
 
 def fit(spec: ModelSpec, train: DataFrame, features: list[str]) -> PipelineModel:
     """Fit on ``train``. The estimators pass over the data many times, so the needed columns are held
-    (memory first, then disk) while they do; lost blocks are recomputed from the stage table."""
+    (memory first, then disk) while they do; lost blocks are recomputed from the stage table. Boosting
+    runs several small jobs per tree, so the rows are held in as few partitions as they need."""
     prepared = train.select(*features, F.col(spec.label).cast("double").alias(spec.label))
-    rows = None
     if spec.classifies:
         prepared = with_class_weights(prepared, spec.label)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.count()
+    prepared = prepared.coalesce(max(1, -(-rows // PARTITION_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if spec.kind == "logistic":
-            rows = prepared.count()
         return pipeline(spec, features, rows).fit(prepared)
     finally:
         prepared.unpersist()
@@ -123,20 +123,6 @@ def feature_importance(model: PipelineModel, features: list[str], spark: SparkSe
     return table.orderBy(F.desc("importance"), "feature").limit(n)
 
 
-def run_record(spec: ModelSpec, metrics: DataFrame, version: int | None = None, alias: str | None = None) -> DataFrame:
-    """One leaderboard row: run, params and metrics as maps, registry version and alias."""
-    params = [F.lit(x) for key, value in sorted(spec.params.items()) for x in (key, str(value))]
-    names = [c for c in metrics.columns if c not in ("model", "n")]
-    return metrics.select(
-        F.lit(spec.name).alias("run"),
-        F.lit("classification" if spec.classifies else "regression").alias("task"),
-        F.create_map(*params).alias("params"),
-        F.create_map(*[x for c in names for x in (F.lit(c), F.col(c).cast("double"))]).alias("metrics"),
-        F.lit(version).cast("int").alias("version"),
-        F.lit(alias).cast("string").alias("alias"),
-    )
-
-
 def permutation_importance(
     model: PipelineModel,
     df: DataFrame,

@@ -46,6 +46,21 @@ def running_totals(counts: DataFrame, order: str, measures: list[str], keys: lis
     )
 
 
+def with_previous(values: DataFrame, order: str, name: str) -> DataFrame:
+    """Add ``name``, the next smaller ``order`` (null for the smallest). ``values`` holds each once.
+
+    Ranges of values look back within themselves; a table of one row per range gives the end of the
+    ranges before. Runs a job: the ranges are written to the shared folder when this is called.
+    """
+    staged = write_stage(values.repartitionByRange(order).withColumn("part_", F.spark_partition_id()), "ranges", sort_by=order)
+    ends = staged.groupBy("part_").agg(F.max(order).alias("end_"))
+    earlier = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(F.col("part_").alias("part_k"), F.max("end_").over(earlier).alias("end_before_"))
+    inside = staged.withColumn("inside_", F.lag(order).over(Window.partitionBy("part_").orderBy(order)))
+    joined = inside.join(before, F.col("part_") == F.col("part_k"))
+    return joined.select(*values.columns, F.coalesce("inside_", "end_before_").alias(name))
+
+
 def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], keys: list[str] | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group: one column per entry of ``probabilities``.
 

@@ -51,10 +51,10 @@ def request_features(requests: DataFrame, categories: list[str] | None = None) -
     return one_hot_weather(cyclic_features(described), categories)
 
 
-def score(requests: DataFrame, model: PipelineModel, thresholds: tuple[float, float, float], keep: str = "request_id") -> DataFrame:
+def score(requests: DataFrame, model: PipelineModel, thresholds: tuple[float, float, float], keep: str = "request_id", check_weekend: bool = True) -> DataFrame:
     """(key, predicted_traffic_volume, congestion_level) of the valid requests. Negative predictions
     become zero; the level uses the unrounded value."""
-    valid = validate_requests(requests).where("is_valid")
+    valid = validate_requests(requests, check_weekend).where("is_valid")
     volume = F.greatest(F.col("prediction"), F.lit(0.0))
     return (
         model.transform(request_features(valid))
@@ -67,6 +67,6 @@ def score(requests: DataFrame, model: PipelineModel, thresholds: tuple[float, fl
     )
 
 
-def quarantined(requests: DataFrame, keep: str = "request_id") -> DataFrame:
+def quarantined(requests: DataFrame, keep: str = "request_id", check_weekend: bool = True) -> DataFrame:
     """(key, problems) of the requests that are not scored."""
-    return validate_requests(requests).where(~F.col("is_valid")).select(keep, F.array_join("problems", ",").alias("problems"))
+    return validate_requests(requests, check_weekend).where(~F.col("is_valid")).select(keep, F.array_join("problems", ",").alias("problems"))

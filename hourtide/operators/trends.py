@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from hourtide import fixed_values as fv
 from hourtide.functions import calendar as cal
 from hourtide.functions.numeric import positive_if
+from hourtide.operators.ranks import running_totals, with_previous
 
 TS, VOLUME = "date_time", "traffic_volume"
 
@@ -96,17 +97,18 @@ def hourly_profile(df: DataFrame, year: int | None = None, ts: str = TS, value:
 def category_ranking(df: DataFrame, category: str = "weather_main", value: str = VOLUME, min_count: int = 1) -> DataFrame:
     """Mean per category (rank 1 is the highest) with the best, the worst and the spread between them."""
     means = df.where(F.col(category).isNotNull()).groupBy(category).agg(F.avg(value).alias("avg_volume"), F.count(F.lit(1)).alias("n"))
-    kept = means.where(F.col("n") >= min_count)
-    everything = Window.orderBy(F.desc("avg_volume"), category).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rank = F.row_number().over(Window.orderBy(F.desc("avg_volume"), category))
-    return kept.select(
+    order = F.struct(F.col("avg_volume").isNull().alias("unknown"), (-F.col("avg_volume")).alias("height"), F.col(category).alias("name"))
+    kept = means.where(F.col("n") >= min_count).withColumns({"order_": order, "one_": F.lit(1)})
+    ranked = running_totals(kept, "order_", ["one_"])
+    ends = ranked.agg(F.struct(F.min("order_").alias("first"), F.max("order_").alias("last")).alias("ends")).scalar()
+    return ranked.select(
         category,
         "avg_volume",
         "n",
-        rank.alias("place"),
-        F.first(category).over(everything).alias("highest"),
-        F.last(category).over(everything).alias("lowest"),
-        (F.first("avg_volume").over(everything) - F.last("avg_volume").over(everything)).alias("value_range"),
+        (F.col("one__before") + 1).cast("int").alias("place"),
+        ends["first"]["name"].alias("highest"),
+        ends["last"]["name"].alias("lowest"),
+        (ends["last"]["height"] - ends["first"]["height"]).alias("value_range"),
     )
 
 
@@ -151,19 +153,15 @@ def weekday_weekend_compare(df: DataFrame, month: int | None = None, ts: str = T
 def coverage_gaps(df: DataFrame, longer_than_hours: float = 1.0, ts: str = TS) -> DataFrame:
     """Gaps between successive timestamps.
 
-    Each calendar month looks back within itself; its first timestamp looks at the last one of the
-    previous month with data, taken from a table of one row per month. No task sorts all timestamps.
+    The distinct timestamps are dealt by ranges, and each range's first one looks at the end of the
+    ranges before: no task sorts all timestamps, wherever they crowd. Runs the job of ``with_previous``.
     """
-    stamps = df.where(F.col(ts).isNotNull()).select(ts).distinct().withColumn("month_", F.trunc(F.to_date(ts), "month"))
-    by_month = Window.partitionBy("month_").orderBy(ts)
-    inside = stamps.withColumn("before_", F.lag(ts).over(by_month))
-    ends = stamps.groupBy("month_").agg(F.max(ts).alias("end_"))
-    previous = ends.select(F.col("month_").alias("next_month_"), F.lag("end_").over(Window.orderBy("month_")).alias("previous_end_"))
-    joined = inside.join(F.broadcast(previous), F.col("month_") == F.col("next_month_"), "left")
-    start, end = F.coalesce("before_", "previous_end_"), F.col(ts)
+    stamps = df.where(F.col(ts).isNotNull()).select(ts).distinct()
+    joined = with_previous(stamps, ts, "before_")
+    start, end = F.col("before_"), F.col(ts)
 
     def second_of_day(c):
-        return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+        return F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c).cast("double")
 
     seconds = F.datediff(F.to_date(end), F.to_date(start)) * 86400 + second_of_day(end) - second_of_day(start)
     return joined.select(start.alias("gap_start"), end.alias("gap_end"), (seconds / 3600.0).alias("gap_hours")).where(

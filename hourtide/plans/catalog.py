@@ -25,6 +25,7 @@ from hourtide.operators import (
     models,
     profile,
     recommend,
+    registry,
     rules,
     scoring,
     splits,
@@ -40,12 +41,6 @@ from hourtide.streaming.score_stream import request_stream, start_scoring
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
 
-# Model sizes of the registered queries; the library defaults are the published ones.
-QUICK_GBT = models.GBT.with_params(maxIter=10)
-QUICK_FOREST = models.FOREST.with_params(numTrees=10, maxDepth=8)
-QUICK_FOREST_CLASSIFIER = models.FOREST_CLASSIFIER.with_params(numTrees=10, maxDepth=8)
-RESTARTS = 2
-
 
 def query(build: Query) -> Query:
     CATALOG[build.__name__] = build
@@ -492,12 +487,12 @@ def class_weights(spark, sf_dir):
 
 @query
 def logistic_high_risk(spark, sf_dir):
-    return jobs.evaluated(spark, sf_dir, models.LOGISTIC.with_params(maxIter=100))
+    return jobs.evaluated(spark, sf_dir, models.LOGISTIC)
 
 
 @query
 def forest_high_risk(spark, sf_dir):
-    return jobs.evaluated(spark, sf_dir, QUICK_FOREST_CLASSIFIER)
+    return jobs.evaluated(spark, sf_dir, models.FOREST_CLASSIFIER)
 
 
 @query
@@ -507,12 +502,12 @@ def linear_volume(spark, sf_dir):
 
 @query
 def gbt_volume(spark, sf_dir):
-    return jobs.evaluated(spark, sf_dir, QUICK_GBT)
+    return jobs.evaluated(spark, sf_dir, models.GBT)
 
 
 @query
 def forest_volume(spark, sf_dir):
-    return jobs.evaluated(spark, sf_dir, QUICK_FOREST)
+    return jobs.evaluated(spark, sf_dir, models.FOREST)
 
 
 @query
@@ -520,7 +515,7 @@ def feature_importance(spark, sf_dir):
     names = features.feature_columns(jobs.featured_table(spark, sf_dir))
     tables = [
         models.feature_importance(jobs.trained(spark, sf_dir, spec), names, spark).withColumn("task", F.lit(task))
-        for task, spec in (("classification", QUICK_FOREST_CLASSIFIER), ("regression", QUICK_GBT))
+        for task, spec in (("classification", models.FOREST_CLASSIFIER), ("regression", models.GBT))
     ]
     return tables[0].unionByName(tables[1])
 
@@ -559,12 +554,12 @@ def error_by_slice(spark, sf_dir):
 
 @query
 def kmeans_k_sweep(spark, sf_dir):
-    return clusters.k_sweep(jobs.featured_table(spark, sf_dir), restarts=1)
+    return clusters.k_sweep(jobs.featured_table(spark, sf_dir))
 
 
 @query
 def kmeans_profiles(spark, sf_dir):
-    return clusters.cluster_profiles(jobs.featured_table(spark, sf_dir), restarts=RESTARTS)
+    return clusters.cluster_profiles(jobs.featured_table(spark, sf_dir))
 
 
 @query
@@ -592,13 +587,10 @@ def _rules_as_text(found: DataFrame) -> DataFrame:
 
 @query
 def model_leaderboard(spark, sf_dir):
-    registered = {"linear": (1, None), "gbt": (2, "production")}
-    rows = None
-    for spec in (models.LINEAR, QUICK_GBT, QUICK_FOREST, models.LOGISTIC.with_params(maxIter=100), QUICK_FOREST_CLASSIFIER):
-        version, alias = registered.get(spec.kind, (None, None))
-        row = models.run_record(spec, jobs.evaluated(spark, sf_dir, spec), version, alias)
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+    """Evaluates the five models, appends their runs to the run table of this input, and reads it back."""
+    for spec in (models.LINEAR, models.GBT, models.FOREST, models.LOGISTIC, models.FOREST_CLASSIFIER):
+        jobs.record(spark, sf_dir, spec, jobs.PRODUCTION if spec == models.GBT else None)
+    return registry.leaderboard(spark, jobs.run_table(spark, sf_dir))
 
 
 @query
@@ -610,7 +602,7 @@ def validate_requests(spark, sf_dir):
 @query
 def batch_score(spark, sf_dir):
     cuts = jobs.serving_thresholds(jobs.featured_table(spark, sf_dir))
-    return scoring.score(scoring_requests(spark, sf_dir), jobs.trained(spark, sf_dir, QUICK_GBT), cuts)
+    return scoring.score(scoring_requests(spark, sf_dir), jobs.trained(spark, sf_dir, models.GBT), cuts)
 
 
 @query
@@ -618,7 +610,7 @@ def stream_score(spark, sf_dir):
     out = f"{checkpoint_folder(spark)}/streams/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     scoring_requests(spark, sf_dir).write.parquet(f"{out}/requests")
     cuts = jobs.serving_thresholds(jobs.featured_table(spark, sf_dir))
-    model = jobs.trained(spark, sf_dir, QUICK_GBT)
+    model = jobs.trained(spark, sf_dir, models.GBT)
     for started in start_scoring(request_stream(spark, f"{out}/requests"), model, cuts, out):
         started.awaitTermination()
     return spark.read.parquet(f"{out}/scored")
@@ -628,7 +620,7 @@ def stream_score(spark, sf_dir):
 def permutation_importance(spark, sf_dir):
     test = jobs.featured_rows(spark, sf_dir, "test")
     names = features.feature_columns(test)
-    return models.permutation_importance(jobs.trained(spark, sf_dir, QUICK_GBT), test, names, "traffic_volume", "date_time")
+    return models.permutation_importance(jobs.trained(spark, sf_dir, models.GBT), test, names, "traffic_volume", "date_time")
 
 
 # --- drift ------------------------------------------------------------------------------------------
@@ -637,7 +629,7 @@ def permutation_importance(spark, sf_dir):
 @query
 def feature_drift_ks(spark, sf_dir):
     found = drift.feature_drift_ks(jobs.featured_rows(spark, sf_dir, "train", "production"))
-    return rounded(found.select("feature", "n_first", "n_second", "ks_statistic"))
+    return rounded(found.select("feature", "n_first", "n_second", "ks_statistic", "p_value", "status"))
 
 
 @query
@@ -645,6 +637,12 @@ def prediction_error_drift(spark, sf_dir):
     return rounded(drift.prediction_error_drift(jobs.monitored(spark, sf_dir), "traffic_volume"))
 
 
+@query
+def model_error_drift(spark, sf_dir):
+    """The error of boosted trees fitted on the ``fit`` rows, on the holdout and in production."""
+    return drift.prediction_error_drift(jobs.monitored_by_trees(spark, sf_dir), "traffic_volume")
+
+
 @query
 def monitoring_summary(spark, sf_dir):
     return rounded(drift.monitoring_summary(*jobs.monitoring_checks(spark, sf_dir)))
@@ -689,6 +687,12 @@ def events_category_ranking(spark, sf_dir):
     return rounded(trends.category_ranking(_events(spark, sf_dir), "event_type", "value"), 4)
 
 
+@query
+def events_gaps(spark, sf_dir):
+    """The table lies within one month."""
+    return rounded(trends.coverage_gaps(load(spark, sf_dir, "events"), 0.05, "ts"))
+
+
 @query
 def lineitem_descriptive_stats(spark, sf_dir):
     return rounded(profile.descriptive_stats(load(spark, sf_dir, "lineitem"), "l_quantity"))

@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from hourtide.functions import calendar as cal
 from hourtide.operators import clean as cleaning
-from hourtide.operators import drift, features, metrics, models, recommend, splits
+from hourtide.operators import drift, features, metrics, models, recommend, registry, splits
 from hourtide.session import checkpoint_folder
 from hourtide.sources.observations import observations
-from hourtide.sources.stages import shared_stage
+from hourtide.sources.stages import listing, shared_stage
 
 # The years of the derived observations (the last one is partial).
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 TRAIN_THROUGH, TEST_YEAR, PRODUCTION_YEAR = 1999, 2000, 2001
+# The alias of the model that serves.
+PRODUCTION = "production"
 
 
 def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,12 +65,30 @@ def featured_rows(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
     return labelled_table(spark, sf_dir).where(reduce(lambda a, b: a | b, [ranges[p] for p in parts]))
 
 
-def trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec) -> PipelineModel:
-    """The model of this application for ``sf_dir`` and ``spec``: stored, or fitted once and stored."""
-    mark = hashlib.sha1(f"{sf_dir}|{spec}".encode()).hexdigest()[:16]
-    path = f"{checkpoint_folder(spark)}/models/{spark.sparkContext.applicationId}/{spec.kind}-{mark}"
-    rows = training_rows(spark, sf_dir)
-    return models.load_or_fit(spec, rows, features.feature_columns(rows), [path])[0]
+def store(spark: SparkSession, sf_dir: str, *what: object) -> str:
+    """A folder in the shared folder that follows the files under ``sf_dir`` and ``what``; it outlives the
+    application."""
+    mark = hashlib.sha1("|".join(map(str, (sf_dir, listing(spark, sf_dir), *what))).encode()).hexdigest()[:16]
+    return f"{checkpoint_folder(spark)}/models/{mark}"
+
+
+def trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec, *parts: str) -> PipelineModel:
+    """The model for the input and ``spec``: stored by this or an earlier application, or fitted once and
+    stored. ``parts`` names the part of the monitored rows to fit on, instead of all training rows."""
+    rows = parted_rows(spark, sf_dir).where(F.col("part").isin(*parts)) if parts else training_rows(spark, sf_dir)
+    names = features.feature_columns(training_rows(spark, sf_dir))
+    return models.load_or_fit(spec, rows, names, [f"{store(spark, sf_dir, spec, *parts)}/{spec.kind}"])[0]
+
+
+def run_table(spark: SparkSession, sf_dir: str) -> str:
+    return f"{store(spark, sf_dir)}/runs"
+
+
+def record(spark: SparkSession, sf_dir: str, spec: models.ModelSpec, alias: str | None = None) -> None:
+    """Evaluate the stored model on the test rows and append the run; it becomes the next version."""
+    model = trained(spark, sf_dir, spec)
+    found = models.evaluate(spec, model, featured_rows(spark, sf_dir, "test"))
+    registry.append_run(spark, run_table(spark, sf_dir), spec, found, f"{store(spark, sf_dir, spec)}/{spec.kind}", alias)
 
 
 def evaluated(spark: SparkSession, sf_dir: str, spec: models.ModelSpec) -> DataFrame:
@@ -95,10 +115,18 @@ def weather_hour_risk(labelled: DataFrame, fit_on) -> DataFrame:
 def monitored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training and production rows with ``part`` (fit / holdout / production) and the baseline
     prediction fitted on the ``fit`` rows."""
+    return hour_day_prediction(parted_rows(spark, sf_dir), F.col("part") == "fit")
+
+
+def parted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = splits.holdout_tail(featured_rows(spark, sf_dir, "train"))
     production = featured_rows(spark, sf_dir, "production").withColumn("part", F.lit("production"))
-    both = train.unionByName(production)
-    return hour_day_prediction(both, F.col("part") == "fit")
+    return train.unionByName(production)
+
+
+def monitored_by_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training and production rows with ``part`` and the prediction of trees fitted on ``fit``."""
+    return models.predict(trained(spark, sf_dir, models.GBT, "fit"), parted_rows(spark, sf_dir))
 
 
 def monitoring_checks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

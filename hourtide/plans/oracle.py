@@ -33,7 +33,8 @@ DAY_TYPE = "CASE WHEN is_weekend = 1 THEN 'weekend' ELSE 'weekday' END"
 
 _base = OBSERVATIONS_FROM_ORDERS.format(orders="orders")
 _means = ", ".join(f"avg({c}) AS {c}" for c in ("temp", "rain_1h", "snow_1h", "clouds_all"))
-_title = "upper(left(trim(weather_main), 1)) || lower(substr(trim(weather_main), 2))"
+_bare = "trim(weather_main, chr(9) || ' ')"
+_title = f"upper(left({_bare}, 1)) || lower(substr({_bare}, 2))"
 
 
 def _standard(source: str) -> str:
@@ -715,17 +716,17 @@ add(
     more=(_volume_test,),
 )
 _rules = (
-    "SELECT concat_ws(',', c.d, c.t, c.w) AS antecedent, c.g AS consequent, "
+    "SELECT concat_ws(',', nullif(c.d, ''), nullif(c.t, ''), nullif(c.w, '')) AS antecedent, c.g AS consequent, "
     "CAST(c.n AS DOUBLE) / s.total AS support, CAST(c.n AS DOUBLE) / a.n AS confidence, "
     "(CAST(c.n AS DOUBLE) / a.n) / (CAST(g.n AS DOUBLE) / s.total) AS lift FROM cells c "
-    "JOIN cells a ON a.g IS NULL AND a.t IS NOT DISTINCT FROM c.t AND a.d IS NOT DISTINCT FROM c.d AND a.w IS NOT DISTINCT FROM c.w "
-    "JOIN cells g ON g.g = c.g AND g.t IS NULL AND g.d IS NULL AND g.w IS NULL CROSS JOIN (SELECT count(*) AS total FROM featured) s "
-    "WHERE c.g IS NOT NULL AND (c.t IS NOT NULL OR c.d IS NOT NULL OR c.w IS NOT NULL) AND c.n >= 0.01 * s.total "
+    "JOIN cells a ON a.g = '' AND a.t = c.t AND a.d = c.d AND a.w = c.w "
+    "JOIN cells g ON g.g = c.g AND g.t = '' AND g.d = '' AND g.w = '' CROSS JOIN (SELECT n AS total FROM cells WHERE g = '' AND t = '' AND d = '' AND w = '') s "
+    "WHERE c.g <> '' AND (c.t <> '' OR c.d <> '' OR c.w <> '') AND c.n >= 0.01 * s.total "
     "AND (CAST(c.n AS DOUBLE) / a.n) / (CAST(g.n AS DOUBLE) / s.total) >= 1"
 )
 _cells = (
     "cells",
-    f"SELECT t, d, w, g, count(*) AS n FROM (SELECT 'time=' || {DAY_PART} AS t, 'day=' || {DAY_TYPE} AS d, 'weather=' || {BUCKET} AS w, "
+    f"SELECT coalesce(t, '') AS t, coalesce(d, '') AS d, coalesce(w, '') AS w, coalesce(g, '') AS g, count(*) AS n FROM (SELECT 'time=' || {DAY_PART} AS t, 'day=' || {DAY_TYPE} AS d, 'weather=' || {BUCKET} AS w, "
     "'congestion=' || congestion_category AS g FROM featured) GROUP BY CUBE (t, d, w, g)",
 )
 add("association_rules", "featured", _rules, "support confidence lift", more=(_cells,))
@@ -756,7 +757,6 @@ _ks = (
     "SELECT feature, CAST(max(na) AS BIGINT) AS n_first, CAST(max(nb) AS BIGINT) AS n_second, "
     "max(abs(CAST(ca AS DOUBLE) / na - CAST(cb AS DOUBLE) / nb)) AS ks_statistic FROM shares GROUP BY 1"
 )
-add("feature_drift_ks", "labelled", _ks, "ks_statistic", more=(_long, _shares))
 _monitored = (
     "monitored",
     "SELECT p.*, coalesce(g.m, (SELECT avg(traffic_volume) FROM parts WHERE part = 'fit')) AS prediction FROM "
@@ -780,6 +780,13 @@ _tested = (
     "FROM (SELECT unnest(range(1, 2001)) AS k)) END AS p FROM (SELECT *, d + 1 / (6 * root) + (d - 1) / (4 * root * root) AS x FROM "
     f"(SELECT *, root * ks_statistic AS d FROM (SELECT *, sqrt(CAST(n_first AS DOUBLE) * n_second / (n_first + n_second)) AS root FROM ({_ks}))))",
 )
+add(
+    "feature_drift_ks",
+    "labelled",
+    "SELECT feature, n_first, n_second, ks_statistic, p AS p_value, CASE WHEN p < 0.05 THEN 'ALERT' ELSE 'PASS' END AS status FROM tested",
+    "ks_statistic p_value",
+    more=(_long, _shares, ("tested", _tested[1].replace("SELECT feature, ks_statistic,", "SELECT feature, n_first, n_second, ks_statistic,", 1))),
+)
 _checks = (
     "checks",
     "SELECT 'feature_drift' AS \"check\", feature AS name, ks_statistic AS statistic, CASE WHEN p < 0.05 THEN 'ALERT' ELSE 'PASS' END AS status FROM tested "
@@ -823,4 +830,5 @@ add(
 )
 add("lineitem_histogram", None, _histogram("lineitem", "l_quantity", 20), "lower upper")
 add("lineitem_odds_ratio", None, _odds("lineitem", "l_quantity > 40", "l_returnflag", "R", "A"), "first_odds second_odds odds_ratio")
+add("events_gaps", None, _gaps("events", "ts", 0.05), "gap_hours")
 add("lineitem_shipdate_gaps", None, _gaps("lineitem", "l_shipdate", 12), "gap_hours")

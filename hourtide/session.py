@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 def build_session(app: str = "hourtide", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are tuned for; ``conf`` overrides any of them.
 
-    Shuffle partitions are a starting point only: adaptive execution coalesces small ones and splits
-    skewed ones. The object-hash threshold keeps grouped min_by / collect_list aggregates in a hash map
+    Shuffles start with many partitions and adaptive execution merges small ones; it can split skewed
+    joins but not aggregates, so the number must suit the largest shuffle. The object-hash threshold keeps grouped min_by / collect_list aggregates in a hash map
     for more than the default 128 groups before they fall back to sorting.
     """
     settings = {
@@ -19,6 +19,7 @@ def build_session(app: str = "hourtide", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": "4000",
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The text of the derived view, valid on Spark and on DuckDB. It plants every defect the
-# cleaning handles: repeats, copies, nulls, 0 K, impossible rain, stray blanks and case.
+# cleaning handles: repeats, copies, nulls, 0 K, impossible rain, stray white space and case.
 OBSERVATIONS_FROM_ORDERS = """
 SELECT seq, holiday, temp, rain_1h, snow_1h, clouds_all, weather_main, weather_description, date_time, traffic_volume
 FROM (
@@ -19,7 +19,7 @@ FROM (
   CASE WHEN o_orderkey % 4999 = 7 THEN CAST(9831.5 AS DOUBLE) WHEN o_orderkey % 9 = 0 THEN CAST(o_custkey % 40 AS DOUBLE) / 4 ELSE CAST(0 AS DOUBLE) END AS rain_1h,
   CASE WHEN o_custkey % 11 = 7 THEN CAST(o_custkey % 4 AS DOUBLE) / 8 ELSE CAST(0 AS DOUBLE) END AS snow_1h,
   CAST(o_custkey % 101 AS INT) AS clouds_all,
-  CASE o_custkey % 11 WHEN 0 THEN 'Clear' WHEN 1 THEN 'Clouds' WHEN 2 THEN ' mist' WHEN 3 THEN 'Haze' WHEN 4 THEN 'DRIZZLE' WHEN 5 THEN 'Rain' WHEN 6 THEN 'Fog' WHEN 7 THEN 'Snow' WHEN 8 THEN 'Thunderstorm' WHEN 9 THEN 'Squall' ELSE 'Smoke' END AS weather_main,
+  CASE o_custkey % 11 WHEN 0 THEN 'Clear' WHEN 1 THEN 'Clouds' WHEN 2 THEN chr(9) || 'mist ' WHEN 3 THEN 'Haze' WHEN 4 THEN 'DRIZZLE' WHEN 5 THEN 'Rain' WHEN 6 THEN 'Fog' WHEN 7 THEN 'Snow' WHEN 8 THEN 'Thunderstorm' WHEN 9 THEN 'Squall' ELSE 'Smoke' END AS weather_main,
   o_orderpriority AS weather_description,
   o_orderdate + h * INTERVAL '1' HOUR AS date_time,
   CAST(CASE WHEN h < 6 THEN 500 WHEN h < 10 THEN 5000 WHEN h < 16 THEN 4300 WHEN h < 19 THEN 5400 ELSE 2400 END + CAST(floor(o_totalprice / 100) AS BIGINT) % 1400 AS INT) AS traffic_volume

@@ -7,24 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourtide.fixed_values import RAW_SCHEMA, TIMESTAMP_FORMAT, TIMESTAMP_PATTERN
+from hourtide.operators.ranks import running_totals
 
 
 def with_file_order(df: DataFrame, name: str = "seq") -> DataFrame:
-    """Add an ordering column that follows (file, position in file).
+    """Add a dense number that follows (file, position in file), one way for any number of files.
 
-    The splits of one file are scheduled in order, so its row id alone follows the file: a number, which
-    keeps the minimum per group in a hash aggregate. Several files are packed into tasks by size; there
-    the column is (file, start of the split, row id).
+    A first pass counts the rows of each split of a file; their running total says where the split begins,
+    and a row stands as far behind as its row id behind the split's first. Runs that pass when called.
     """
-    if len(df.inputFiles()) == 1:
-        return df.withColumn(name, F.monotonically_increasing_id())
-    return df.withColumn(
-        name,
-        F.struct(
-            F.input_file_name().alias("file"),
-            F.input_file_block_start().alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
+    placed = df.withColumns(
+        {"file_": F.input_file_name(), "block_": F.input_file_block_start(), "row_": F.monotonically_increasing_id()}
+    )
+    counts = placed.groupBy("file_", "block_").agg(F.count(F.lit(1)).alias("rows_"), F.min("row_").alias("first_"))
+    splits = counts.select("file_", "block_", "rows_", "first_", F.struct("file_", "block_").alias("order_"))
+    begins = running_totals(splits, "order_", ["rows_"]).select("file_", "block_", "first_", "rows__before")
+    return placed.join(begins, ["file_", "block_"]).select(
+        *df.columns, (F.col("rows__before") + F.col("row_") - F.col("first_")).alias(name)
     )
 
 

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourtide.session import checkpoint_folder
 
@@ -27,9 +28,17 @@ def write_stage(df: DataFrame, name: str, sort_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shared_stage(spark: SparkSession, key: str, name: str, build: Callable[[], DataFrame], sort_by: str | None = None) -> DataFrame:
-    """The stage ``key`` of this application, built on first use."""
-    slot = (spark.sparkContext.applicationId, f"{name}:{key}")
+def listing(spark: SparkSession, folder: str) -> str:
+    """A digest of the names, sizes and times of the files under ``folder``; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    row = files.select(F.xxhash64("path", "length", "modificationTime").alias("mark")).agg(F.count("mark"), F.bit_xor("mark")).first()
+    return f"{row[0]}-{row[1]}"
+
+
+def shared_stage(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame], sort_by: str | None = None) -> DataFrame:
+    """The stage ``name`` of the tables under ``folder`` in this application, built on first use and again when their
+    files have changed."""
+    slot = (spark.sparkContext.applicationId, f"{name}:{folder}:{listing(spark, folder)}")
     if slot not in _known:
         df = build()
         path = f"{checkpoint_folder(spark)}/stages/{slot[0]}/{name}-{uuid.uuid4().hex}"

@@ -16,11 +16,14 @@ def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 100)
 
 
 def start_scoring(
-    requests: DataFrame, model: PipelineModel, thresholds: tuple[float, float, float], out: str, available_now: bool = True
+    requests: DataFrame, model: PipelineModel, thresholds: tuple[float, float, float], out: str, available_now: bool = True, check_weekend: bool = True
 ) -> list[StreamingQuery]:
     """Two append-only sinks under ``out``: scored requests and the quarantine. Their checkpoints make
     each output exactly-once over restarts."""
-    sinks = {"scored": score(requests, model, thresholds), "quarantine": quarantined(requests)}
+    sinks = {
+        "scored": score(requests, model, thresholds, check_weekend=check_weekend),
+        "quarantine": quarantined(requests, check_weekend=check_weekend),
+    }
     started = []
     for name, frame in sinks.items():
         writer = frame.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{out}/checkpoints/{name}")

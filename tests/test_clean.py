@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourtide import fixed_values as fv
+from hourtide.functions.text import lower_text, title_text
 from hourtide.operators import clean
 from hourtide.sources.observations import observations
+from hourtide.sources.readers import read_observations_csv
 
 H = dt.datetime
 
@@ -156,3 +158,32 @@ def test_hot_timestamp_keeps_every_description(spark, raw):
     row = clean.timestamp_aggregate(clean.exact_dedupe(hot)).first()
     assert row["weather_description"] == "; ".join(f"text {i}" for i in range(5))
     assert row["n_weather_conditions"] == 100
+
+
+def test_text_is_stripped_of_all_white_space_and_titled_by_letters(spark):
+    cases = {"\tmist": "Mist", "o'neil x-y": "O'Neil X-Y", " heavy  RAIN\r\n": "Heavy  Rain", "3rd été": "3Rd Été", "": "", " ": "", "ab1cd": "Ab1Cd"}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    out = df.select("t", title_text(F.col("t")).alias("title"), lower_text(F.col("t")).alias("lower")).collect()
+    assert {r["t"]: r["title"] for r in out} == cases == {k: k.strip().title() for k in cases}
+    assert all(r["lower"] == r["t"].strip().lower() for r in out)
+    assert df.where("false").unionByName(spark.sql("select cast(null as string) as t")).select(title_text(F.col("t"))).first()[0] is None
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_raw_rows_are_hashed_not_sorted(spark, tmp_path, files):
+    """No sort aggregate reads raw rows: neither for copies nor on the first level per timestamp."""
+    rows = spark.range(200).select(
+        F.lit(None).cast("string").alias("holiday"), F.lit(1.5).alias("temp"), F.lit(0.0).alias("rain_1h"), F.lit(0.0).alias("snow_1h"),
+        F.lit(40).alias("clouds_all"), F.lit("Clear").alias("weather_main"), F.lit("sky").alias("weather_description"),
+        F.lit("2000-01-01 00:00:00").alias("date_time"), F.col("id").alias("traffic_volume"),
+    )
+    rows.repartition(files).write.option("header", True).csv(str(tmp_path / "raw"))
+    df = read_observations_csv(spark, str(tmp_path / "raw"))
+    assert dict(df.dtypes)["seq"] == "bigint"
+    assert sorted(r["seq"] for r in df.select("seq").collect()) == list(range(200))
+    plan = clean.exact_dedupe(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    per_ts = clean.timestamp_aggregate(df)._jdf.queryExecution().executedPlan().toString()
+    # The deepest aggregates come last in the text.
+    levels = [line.strip() for line in per_ts.splitlines() if "Aggregate(" in line]
+    assert "SortAggregate" not in levels[-1] and "SortAggregate" not in levels[-2]

@@ -1,4 +1,5 @@
 import datetime as dt
+import inspect
 import itertools
 import math
 import random
@@ -10,8 +11,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
 from hourtide.functions.numeric import kolmogorov_tail
-from hourtide.operators import clusters, drift, features, metrics, models, rules, splits
-from hourtide.plans import jobs
+from hourtide.operators import clusters, drift, features, metrics, models, registry, rules, splits
+from hourtide.plans import catalog, jobs
 
 
 def stamps(spark, n, per_stamp=1):
@@ -113,6 +114,26 @@ def test_ks_equals_brute_force(spark):
     assert turned["ks_statistic"] == pytest.approx(expected, abs=1e-12)
 
 
+def exact_ks_tail(d, n, m):
+    """P(D >= d): lattice paths from (0, 0) to (n, m) that leave the band |i/n - j/m| < d, counted."""
+    inside = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if abs(i / n - j / m) < d - 1e-12:
+                inside[i][j] = 1 if i == j == 0 else (inside[i - 1][j] if i else 0) + (inside[i][j - 1] if j else 0)
+    return 1 - inside[n][m] / math.comb(n + m, n)
+
+
+@pytest.mark.parametrize("n,m", [(8, 9), (30, 21), (120, 95)])
+def test_ks_p_value_is_near_the_exact_one(spark, n, m):
+    rng = np.random.default_rng(n)
+    for shift in (0.0, 0.4, 0.9):
+        a, b = rng.normal(0, 1, n), rng.normal(shift, 1, m)
+        row = drift.feature_drift_ks(two_samples(spark, a, b), ["x"]).first()
+        exact = exact_ks_tail(row["ks_statistic"], n, m)
+        assert row["p_value"] == pytest.approx(exact, abs=0.06 if n < 10 else 0.02)
+
+
 def test_ks_of_equal_and_of_disjoint_samples(spark):
     same = drift.feature_drift_ks(two_samples(spark, range(50), range(50)), ["x"]).first()
     assert (same["ks_statistic"], same["p_value"], same["status"]) == (0.0, 1.0, "PASS")
@@ -215,7 +236,7 @@ def test_permutation_covers_every_row_once(spark, sf_dir):
     assert rows["hour_sin"]["base_mae"] == pytest.approx(plain)
 
 
-def test_classifiers_report_all_metrics(spark, sf_dir):
+def test_classifiers_report_all_metrics(spark, sf_dir, tmp_path):
     train, test = jobs.training_rows(spark, sf_dir), jobs.featured_rows(spark, sf_dir, "test")
     names = features.feature_columns(train)
     for spec in (models.LOGISTIC.with_params(maxIter=20), models.FOREST_CLASSIFIER.with_params(numTrees=5, maxDepth=6)):
@@ -223,8 +244,28 @@ def test_classifiers_report_all_metrics(spark, sf_dir):
         found = models.evaluate(spec, model, test)
         row = found.first()
         assert row["roc_auc"] > 0.8 and 0 < row["f1"] <= 1
-        record = models.run_record(spec, found, 1, "production").first()
+        registry.append_run(spark, f"{tmp_path}/runs", spec, found, f"{tmp_path}/{spec.kind}", "production")
+        model.write().save(f"{tmp_path}/{spec.kind}")
+        record = registry.leaderboard(spark, f"{tmp_path}/runs").where(F.col("run") == spec.name).first()
         assert record["metrics"]["roc_auc"] == row["roc_auc"] and record["params"] and record["alias"] == "production"
+    registry.append_run(spark, f"{tmp_path}/runs", spec, found, f"{tmp_path}/{spec.kind}")
+    versions = registry.runs(spark, f"{tmp_path}/runs").where(F.col("run") == spec.name).select("version", "alias").orderBy("version").collect()
+    assert [tuple(r) for r in versions] == [(1, "production"), (2, None)]
+    served = registry.load_aliased(spark, f"{tmp_path}/runs", "production")
+    assert models.evaluate(spec, served, test).first() == row
+    with pytest.raises(LookupError):
+        registry.load_aliased(spark, f"{tmp_path}/none", "production")
+
+
+def test_registered_models_have_the_published_sizes():
+    """The catalogue trains the library's defaults, and these are the published settings."""
+    assert models.GBT.params["maxIter"] == 200 and models.GBT.params["maxDepth"] == 5
+    assert (models.FOREST.params["numTrees"], models.FOREST.params["maxDepth"]) == (200, 15)
+    assert (models.FOREST_CLASSIFIER.params["numTrees"], models.FOREST_CLASSIFIER.params["maxDepth"]) == (100, 30)
+    assert models.LOGISTIC.params["maxIter"] == 1000
+    assert inspect.signature(clusters.k_sweep).parameters["restarts"].default == 10
+    source = inspect.getsource(catalog)
+    assert "with_params" not in source and "restarts" not in source
 
 
 def test_cluster_profiles_are_ordered_and_named(spark, sf_dir):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hourtide.operators.ranks import quantiles, running_totals
+from hourtide.operators.ranks import quantiles, running_totals, with_previous
 
 
 def skewed(spark, n=4000):
@@ -61,3 +61,23 @@ def test_plan_has_no_global_sort_of_values(spark):
     plan = quantiles(df, "v", {"m": 0.5})._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
+
+
+def test_previous_values_cross_the_ranges(spark):
+    values = spark.createDataFrame([(i * i,) for i in range(400)], "v bigint")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r["v"]: r["before"] for r in with_previous(values.repartition(5), "v", "before").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == {i * i: (i - 1) ** 2 if i else None for i in range(400)}
+
+
+def test_one_range_or_many_give_the_same_totals(spark):
+    counts = spark.createDataFrame([(i % 3, i, 1 + i % 5) for i in range(600)], "g int, v int, n int")
+    results = []
+    for merge in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
+        results.append(sorted(map(tuple, running_totals(counts, "v", ["n"], ["g"]).collect())))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert results[0] == results[1] and len(results[0]) == 600
