@@ -125,6 +125,13 @@ SCALED_COLUMNS = ["temp", "clouds_all", "rain_1h"]
 DRIFT_FEATURES = ["temp", "clouds_all", "rain_1h", "hour"]
 CLUSTER_FEATURES = ["hour_sin", "hour_cos", "weather_severity", "traffic_volume"]
 
+# Limits of the cluster names, on mean volume and mean hour.
+LULL_BELOW, SHOULDER_BELOW, PEAK_FROM = 1500, 3000, 4500
+SHOULDER_HOURS = (8, 18)
+
+# Centres in the scaled space of the cluster features, for assignment without training.
+REFERENCE_CENTRES = [(0.5, 1.0, 0.2, 0.1), (1.0, 0.5, 0.3, 0.6), (0.5, 0.0, 0.3, 0.45), (0.0, 0.5, 0.3, 0.8)]
+
 # Cluster names with their advice.
 CLUSTER_ACTIONS = {
     "Night lull": "Low-demand window suitable for roadwork and lane closures",

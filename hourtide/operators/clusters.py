@@ -49,7 +49,26 @@ def cluster_profiles(df: DataFrame, k: int = 4, restarts: int = 10, seed: int =
         model = best_kmeans(vectors, k, restarts, seed)
     finally:
         vectors.unpersist()
-    labelled = model.transform(vectors)
+    return profiles_of(model.transform(vectors))
+
+
+def assigned_to(df: DataFrame, centres: list[tuple[float, ...]], features: list[str] | None = None, keep: tuple[str, ...] = ("hour",)) -> DataFrame:
+    """Rows without nulls with ``prediction``, the number of the nearest given centre in min-max scaled
+    space; the first centre on a tie. A constant feature counts as one half."""
+    features = features or fv.CLUSTER_FEATURES
+    rows = df.select(*dict.fromkeys([*keep, *features])).na.drop()
+    ends = [x for f in features for x in (F.min(f).cast("double").alias(f"{f}_low"), F.max(f).cast("double").alias(f"{f}_high"))]
+    bounds = rows.agg(F.struct(*ends).alias("bounds")).scalar()
+    scaled = [F.coalesce(F.try_divide(F.col(f) - bounds[f"{f}_low"], bounds[f"{f}_high"] - bounds[f"{f}_low"]), F.lit(0.5)) for f in features]
+    distances = [
+        F.struct(sum((x - F.lit(c)) * (x - F.lit(c)) for x, c in zip(scaled, centre)).alias("distance"), F.lit(i).alias("number"))
+        for i, centre in enumerate(centres)
+    ]
+    return rows.withColumn("prediction", F.array_min(F.array(*distances))["number"])
+
+
+def profiles_of(labelled: DataFrame) -> DataFrame:
+    """Clusters of rows with ``prediction``, numbered by mean volume, with size, means, name and advice."""
     profiles = labelled.groupBy("prediction").agg(
         F.count(F.lit(1)).alias("size"),
         F.avg("hour").alias("mean_hour"),
@@ -64,9 +83,9 @@ def name_profiles(profiles: DataFrame) -> DataFrame:
     """Add name and action by mean hour and volume."""
     h, v = F.col("mean_hour"), F.col("mean_volume")
     name = (
-        F.when(v < 1500, "Night lull")
-        .when((v < 3000) & ((h > 18) | (h < 8)), "Shoulder hours")
-        .when(v >= 4500, "Peak commute")
+        F.when(v < fv.LULL_BELOW, "Night lull")
+        .when((v < fv.SHOULDER_BELOW) & ((h > fv.SHOULDER_HOURS[1]) | (h < fv.SHOULDER_HOURS[0])), "Shoulder hours")
+        .when(v >= fv.PEAK_FROM, "Peak commute")
         .otherwise("Midday moderate")
     )
     actions = F.create_map(*[F.lit(x) for pair in fv.CLUSTER_ACTIONS.items() for x in pair])

@@ -55,15 +55,15 @@ def score(requests: DataFrame, model: PipelineModel, thresholds: tuple[float, fl
     """(key, predicted_traffic_volume, congestion_level) of the valid requests. Negative predictions
     become zero; the level uses the unrounded value."""
     valid = validate_requests(requests, check_weekend).where("is_valid")
-    volume = F.greatest(F.col("prediction"), F.lit(0.0))
-    return (
-        model.transform(request_features(valid))
-        .withColumn("volume_", volume)
-        .select(
-            keep,
-            F.round("volume_", 2).alias("predicted_traffic_volume"),
-            banded(F.col("volume_"), list(thresholds), fv.SERVING_LEVELS).alias("congestion_level"),
-        )
+    return graded(model.transform(request_features(valid)), thresholds, keep)
+
+
+def graded(predicted: DataFrame, thresholds: tuple[float, float, float], keep: str = "request_id") -> DataFrame:
+    """(key, predicted_traffic_volume, congestion_level) of rows with ``prediction``."""
+    return predicted.withColumn("volume_", F.greatest(F.col("prediction"), F.lit(0.0))).select(
+        keep,
+        F.round("volume_", 2).alias("predicted_traffic_volume"),
+        banded(F.col("volume_"), list(thresholds), fv.SERVING_LEVELS).alias("congestion_level"),
     )
 
 

@@ -500,6 +500,15 @@ def linear_volume(spark, sf_dir):
     return jobs.evaluated(spark, sf_dir, models.LINEAR)
 
 
+@query
+def linear_coefficients(spark, sf_dir):
+    """Least squares on two inputs that are not collinear: intercept and slopes."""
+    names = ["hour_cos", "is_weekend"]
+    fitted = models.fit(models.LINEAR, jobs.training_rows(spark, sf_dir), names).stages[-1]
+    row = (float(fitted.intercept), *[float(c) for c in fitted.coefficients])
+    return rounded(spark.createDataFrame([row], "intercept double, hour_cos double, is_weekend double"), 4)
+
+
 @query
 def gbt_volume(spark, sf_dir):
     return jobs.evaluated(spark, sf_dir, models.GBT)
@@ -562,6 +571,13 @@ def kmeans_profiles(spark, sf_dir):
     return clusters.cluster_profiles(jobs.featured_table(spark, sf_dir))
 
 
+@query
+def centre_profiles(spark, sf_dir):
+    """Assignment to given centres, with the profiles and names of the clusters."""
+    labelled = clusters.assigned_to(jobs.featured_table(spark, sf_dir), fv.REFERENCE_CENTRES)
+    return rounded(clusters.profiles_of(labelled))
+
+
 @query
 def association_rules(spark, sf_dir):
     return _rules_as_text(rules.association_rules(jobs.featured_table(spark, sf_dir), rules.basket_columns()))
@@ -605,6 +621,16 @@ def batch_score(spark, sf_dir):
     return scoring.score(scoring_requests(spark, sf_dir), jobs.trained(spark, sf_dir, models.GBT), cuts)
 
 
+@query
+def baseline_score(spark, sf_dir):
+    """Requests scored by the training mean of their hour and day type instead of a model."""
+    cuts = jobs.serving_thresholds(jobs.featured_table(spark, sf_dir))
+    valid = scoring.validate_requests(scoring_requests(spark, sf_dir)).where("is_valid")
+    # One row per hour and day type.
+    means = jobs.training_rows(spark, sf_dir).groupBy("hour", "is_weekend").agg(F.avg("traffic_volume").alias("prediction"))
+    return scoring.graded(valid.join(F.broadcast(means), ["hour", "is_weekend"]), cuts)
+
+
 @query
 def stream_score(spark, sf_dir):
     out = f"{checkpoint_folder(spark)}/streams/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

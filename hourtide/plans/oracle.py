@@ -729,6 +729,54 @@ _cells = (
     f"SELECT coalesce(t, '') AS t, coalesce(d, '') AS d, coalesce(w, '') AS w, coalesce(g, '') AS g, count(*) AS n FROM (SELECT 'time=' || {DAY_PART} AS t, 'day=' || {DAY_TYPE} AS d, 'weather=' || {BUCKET} AS w, "
     "'congestion=' || congestion_category AS g FROM featured) GROUP BY CUBE (t, d, w, g)",
 )
+add(
+    "linear_coefficients",
+    "labelled",
+    "SELECT m.y - b1 * m.x1 - b2 * m.x2 AS intercept, b1 AS hour_cos, b2 AS is_weekend FROM (SELECT *, (v2 * c1 - c12 * c2) / (v1 * v2 - c12 * c12) AS b1, "
+    "(v1 * c2 - c12 * c1) / (v1 * v2 - c12 * c12) AS b2 FROM (SELECT avg(traffic_volume) AS y, avg(hour_cos) AS x1, avg(is_weekend) AS x2, "
+    "var_pop(hour_cos) AS v1, var_pop(is_weekend) AS v2, covar_pop(hour_cos, is_weekend) AS c12, covar_pop(hour_cos, traffic_volume) AS c1, "
+    "covar_pop(is_weekend, traffic_volume) AS c2 FROM labelled WHERE split = 'train')) m",
+    "intercept hour_cos is_weekend",
+    4,
+)
+_scaled = (
+    "scaled",
+    "SELECT hour, weather_severity, traffic_volume, "
+    + ", ".join(f"(CAST({c} AS DOUBLE) - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) AS s{i}" for i, c in enumerate(fv.CLUSTER_FEATURES))
+    + " FROM featured WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in fv.CLUSTER_FEATURES),
+)
+_nearest = (
+    "nearest",
+    "SELECT *, list_min(["
+    + ", ".join(
+        "{'d': " + " + ".join(f"(s{j} - {x}::DOUBLE) * (s{j} - {x}::DOUBLE)" for j, x in enumerate(centre)) + f", 'i': {i}}}"
+        for i, centre in enumerate(fv.REFERENCE_CENTRES)
+    )
+    + "]).i AS prediction FROM scaled",
+)
+_name = (
+    f"CASE WHEN mean_volume < {fv.LULL_BELOW} THEN 'Night lull' WHEN mean_volume < {fv.SHOULDER_BELOW} AND (mean_hour > {fv.SHOULDER_HOURS[1]} "
+    f"OR mean_hour < {fv.SHOULDER_HOURS[0]}) THEN 'Shoulder hours' WHEN mean_volume >= {fv.PEAK_FROM} THEN 'Peak commute' ELSE 'Midday moderate' END"
+)
+add(
+    "centre_profiles",
+    "featured",
+    f"SELECT *, {_case('name', fv.CLUSTER_ACTIONS, 'NULL')} AS action FROM (SELECT *, {_name} AS name FROM (SELECT "
+    "CAST(row_number() OVER (ORDER BY mean_volume, prediction) - 1 AS INT) AS cluster, size, mean_hour, mean_severity, mean_volume FROM "
+    "(SELECT prediction, count(*) AS size, avg(hour) AS mean_hour, avg(weather_severity) AS mean_severity, avg(traffic_volume) AS mean_volume "
+    "FROM nearest GROUP BY 1)))",
+    "mean_hour mean_severity mean_volume",
+    more=(_scaled, _nearest),
+)
+_bad_request = " OR ".join(f"k % {m} = {r}" for m, r in ((701, 1), (709, 2), (719, 3), (727, 4), (733, 5), (739, 6), (743, 7)))
+add(
+    "baseline_score",
+    "labelled",
+    "SELECT k AS request_id, round(m, 2) AS predicted_traffic_volume, CASE WHEN m <= q1 THEN 'low' WHEN m <= q2 THEN 'moderate' WHEN m <= q3 THEN 'high' "
+    f"ELSE 'very_high' END AS congestion_level FROM (SELECT o_orderkey AS k FROM orders) JOIN (SELECT hour, is_weekend, avg(traffic_volume) AS m "
+    f"FROM labelled WHERE split = 'train' GROUP BY 1, 2) ON hour = k % 24 AND is_weekend = CAST(k % 7 >= 5 AS INT), ({_quartiles}) WHERE NOT ({_bad_request})",
+)
 add("association_rules", "featured", _rules, "support confidence lift", more=(_cells,))
 add(
     "top_association_rules",
