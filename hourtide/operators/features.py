@@ -36,11 +36,14 @@ def holiday_flag(df: DataFrame, ts: str = "date_time", holiday: str = "holiday")
     return joined.select(*df.columns, F.col("holiday_date_").isNotNull().cast("int").alias("is_holiday"))
 
 
-def one_hot_weather(df: DataFrame, categories: list[str] | None = None, column: str = "weather_main") -> DataFrame:
-    """A 0/1 column per category. The category list is given, so the schema does not depend on the data."""
-    return df.selectExpr(
-        "*", *[f"int(`{column}` <=> {sql_literal(c)}) AS `weather_{c}`" for c in categories or fv.WEATHER_CATEGORIES]
-    )
+def one_hot_weather(df: DataFrame, categories: list[str] | None = None, column: str = "weather_main", other: str | None = None) -> DataFrame:
+    """A 0/1 column per category. The category list is given, so the schema does not depend on the data.
+    ``other`` names one more column that is 1 for a category outside the list and for a missing one."""
+    listed = categories or fv.WEATHER_CATEGORIES
+    flags = [f"int(`{column}` <=> {sql_literal(c)}) AS `weather_{c}`" for c in listed]
+    if other:
+        flags.append(f"int(NOT coalesce(`{column}` IN ({', '.join(sql_literal(c) for c in listed)}), false)) AS `{other}`")
+    return df.selectExpr("*", *flags)
 
 
 def weather_indicators(df: DataFrame, weather: str = "weather_main", clouds: str = "clouds_all") -> DataFrame:

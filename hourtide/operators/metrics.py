@@ -11,11 +11,11 @@ from hourtide.operators.ranks import running_totals
 
 def group_mean_prediction(df: DataFrame, fit_on, keys: list[str], target: str, name: str = "prediction") -> DataFrame:
     """Predict the mean of ``target`` over the fitted rows with the same ``keys``; unseen keys get the
-    overall mean. The keys are a bounded set (hours, day types, categories), so the table is broadcast."""
+    overall mean. The planner broadcasts the table of means where it is small."""
     fitted = df.where(fit_on)
     table = fitted.groupBy(*keys).agg(F.avg(target).alias("group_mean_"))
     overall = fitted.agg(F.avg(target).alias("overall")).scalar()
-    return df.join(F.broadcast(table), keys, "left").select(
+    return df.join(table, keys, "left").select(
         *df.columns, F.coalesce(F.col("group_mean_"), overall).alias(name)
     )
 

@@ -51,8 +51,8 @@ def association_rules(
     for n in others:
         match = F.col(n).eqNullSafe(F.col(f"{n}_l"))
         same = match if same is None else same & match
-    # Both sides hold at most one row per itemset: the product of the attribute sizes.
-    joined = frequent.join(F.broadcast(left), same).join(F.broadcast(right), F.col(consequent) == F.col("item_"))
+    # One row per itemset: as many as the product of the attribute sizes, so the planner chooses how to join.
+    joined = frequent.join(left, same).join(right, F.col(consequent) == F.col("item_"))
     confidence = F.col("n") / F.col("n_left")
     lift = confidence / (F.col("n_right") / total)
     return joined.select(

@@ -133,7 +133,7 @@ def hour_dow_heatmap(df: DataFrame, value: str = VOLUME) -> DataFrame:
 def top_category_points(df: DataFrame, category: str = "weather_main", points: tuple[str, ...] = ("temp", VOLUME), n: int = 5) -> DataFrame:
     """The points of the ``n`` most frequent categories (ties by name)."""
     leaders = df.groupBy(category).agg(F.count(F.lit(1)).alias("n_")).orderBy(F.desc("n_"), category).limit(n)
-    return df.select(category, *points).join(F.broadcast(leaders.select(category)), category, "left_semi")
+    return df.select(category, *points).join(leaders.select(category), category, "left_semi")
 
 
 def weekday_weekend_compare(df: DataFrame, month: int | None = None, ts: str = TS, value: str = VOLUME) -> DataFrame:

@@ -42,6 +42,7 @@ def shared_stage(spark: SparkSession, folder: str, name: str, build: Callable[[]
     if slot not in _known:
         df = build()
         path = f"{checkpoint_folder(spark)}/stages/{slot[0]}/{name}-{uuid.uuid4().hex}"
-        (df.sortWithinPartitions(sort_by) if sort_by else df).write.parquet(path)
+        # Ranges of the sort column per file, so that whole files can be skipped.
+        (df.repartitionByRange(sort_by).sortWithinPartitions(sort_by) if sort_by else df).write.parquet(path)
         _known[slot] = path
     return spark.read.parquet(_known[slot])

@@ -105,3 +105,9 @@ def test_wording(spark):
 
 def test_zero_peak_is_zero_percent_below(spark):
     assert recommend.best_hours_exact(hourly(spark, (8, 0.0)), "weekday", "Rain").first()["pct_below_peak"] == 0.0
+
+
+def test_unlisted_categories_have_their_flag(spark):
+    df = spark.createDataFrame([("Rain",), ("Tornado",), (None,)], "weather_main string")
+    out = features.one_hot_weather(df, ["Rain", "Snow"], other="weather_other").collect()
+    assert [(r["weather_Rain"], r["weather_Snow"], r["weather_other"]) for r in out] == [(1, 0, 0), (0, 0, 1), (0, 0, 1)]
