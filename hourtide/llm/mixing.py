@@ -3,7 +3,10 @@
 Words are summed per source before anything is shuffled by source. The targets come from two running
 totals over the sources (one row each), so their number is not bounded either. Documents then get their
 source's repetition rate: floor(rate) copies plus one more if the document's own seeded hash falls below
-the fraction. No row is needed to decide about another.
+a bound. The bound is the fraction of the rate, moved to where the words of the hashes below it come
+nearest to the words still wanted: hashes are even, so it stays close to the fraction, but a few very
+long documents cannot carry a source off its target. It comes from a running total by hash, which no
+source gathers in one task. Given the table of bounds, no row is needed to decide about another.
 """
 
 from __future__ import annotations
@@ -24,6 +27,12 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def draw(id: Column, seed: str = SEED) -> Column:
+    """An even number of 52 bits from the md5 of seed and id. Rows with one id (a missing one too) share it."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id.cast("string"), F.lit("null")))), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, source_size, weight, target, rate) per source of ``sizes`` (source, size).
 
@@ -50,12 +59,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return levels.select("source", "source_size", "weight", target.alias("target"), rate.alias("rate"))
 
 
-def copies(rate: Column, id: Column, seed: str = SEED) -> Column:
-    """floor(rate), and one more with probability equal to the fraction: a number in [0, 1) from the first
-    52 bits of the md5 of seed and id decides. Rows with one id (a missing one included) decide alike."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id.cast("string"), F.lit("null")))), 1, 13)
-    drawn = F.conv(digits, 16, 10).cast("bigint") / F.lit(float(1 << 52))
-    return F.floor(rate) + (drawn < rate - F.floor(rate)).cast("bigint")
+def source_bounds(sizes: DataFrame, **how) -> DataFrame:
+    """``source_targets`` of ``sizes`` (source, size, draw) with ``bound``: the largest hash that gets one copy
+    more than floor(rate), null if none does."""
+    targets = stage(source_targets(sizes, **how), "targets")
+    drawn = sizes.groupBy("source", "draw").agg(F.sum("size").alias("size"))
+    summed = running_totals(drawn, "draw", ["size"], ["source"]).select(F.col("source").alias("named"), "draw", "size", "size_before")
+    wanted = F.col("target") - F.floor("rate") * F.col("source_size")
+    inside = F.when(F.col("size_before") + F.col("size") / 2 <= wanted, F.col("draw"))
+    joined = summed.join(targets, F.col("named").eqNullSafe(F.col("source")))
+    bounds = joined.groupBy("source", "source_size", "target", "rate").agg(F.max(inside).alias("bound"))
+    return stage(bounds, "bounds")
+
+
+def copies(rate: Column, drawn: Column, bound: Column) -> Column:
+    return F.floor(rate) + F.coalesce(drawn <= bound, F.lit(False)).cast("bigint")
 
 
 def mix_report(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
@@ -64,11 +82,14 @@ def mix_report(df: DataFrame, id: str = "doc_id", text: str = "text", source: st
     A null text has size 0; null sources are one source. Runs jobs: sizes and targets are written first.
     """
     sized = df.select(
-        df[f"`{id}`"].alias("doc_id"), df[f"`{source}`"].alias("source"), n_words(df[f"`{text}`"]).alias("size")
+        df[f"`{id}`"].alias("doc_id"),
+        df[f"`{source}`"].alias("source"),
+        n_words(df[f"`{text}`"]).alias("size"),
+        draw(df[f"`{id}`"]).alias("draw"),
     )
     sized = stage(sized, "sizes")
-    targets = stage(source_targets(sized, **how), "targets").select(F.col("source").alias("named"), "source_size", "target", "rate")
-    n = copies(F.col("rate"), F.col("doc_id"))
+    targets = source_bounds(sized.drop("doc_id"), **how).withColumnRenamed("source", "named")
+    n = copies(F.col("rate"), F.col("draw"), F.col("bound"))
     return sized.join(targets, F.col("source").eqNullSafe(F.col("named"))).select(
         "doc_id", "size", "source_size", "target", (n * F.col("size")).alias("taken"), n.alias("copies")
     )
@@ -76,11 +97,13 @@ def mix_report(df: DataFrame, id: str = "doc_id", text: str = "text", source: st
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """The mix itself: the rows of ``df``, each as often as it is taken, with the same columns."""
-    sized = df.select(df[f"`{source}`"].alias("source"), n_words(df[f"`{text}`"]).alias("size"))
-    named, rate, copy = (free_name(df.columns, x) for x in ("named", "rate", "copy"))
-    targets = stage(source_targets(sized, **how), "targets").select(F.col("source").alias(named), F.col("rate").alias(rate))
+    drawn = draw(df[f"`{id}`"])
+    sized = stage(df.select(df[f"`{source}`"].alias("source"), n_words(df[f"`{text}`"]).alias("size"), drawn.alias("draw")), "sizes")
+    named, rate, bound, copy = (free_name(df.columns, x) for x in ("named", "rate", "bound", "copy"))
+    bounds = source_bounds(sized, **how)
+    targets = bounds.select(F.col("source").alias(named), F.col("rate").alias(rate), F.col("bound").alias(bound))
     taken = df.join(targets, df[f"`{source}`"].eqNullSafe(F.col(named)))
-    n = copies(F.col(rate), F.col(f"`{id}`"))
+    n = copies(F.col(rate), draw(F.col(f"`{id}`")), F.col(bound))
     each = taken.withColumn(copy, F.explode(F.array_repeat(F.lit(True), n.cast("int"))))
     return each.select(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -105,12 +128,18 @@ with sized as (
   where (total - stop_before) / (weight_total - weight_before) <= stop_level
 ), targets as (
   select source, source_size, least(cast(stop as double), level * weight) as target from levels, water
-), drawn as (
-  select doc_id, size, source_size, target,
-    case when source_size > 0 then target / source_size else 1.0 end as rate,
-    cast(('0x' || md5('{SEED}:' || coalesce(cast(doc_id as varchar), 'null'))[1:13]) as bigint) / 4503599627370496.0 as draw
-  from sized join targets on sized.source is not distinct from targets.source
+), rated as (
+  select *, case when source_size > 0 then target / source_size else 1.0 end as rate from targets
+), draws as (
+  select doc_id, size, source, cast(('0x' || md5('{SEED}:' || coalesce(cast(doc_id as varchar), 'null'))[1:13]) as bigint) as draw from sized
+), summed as (
+  select source, draw, size, coalesce(sum(size) over (partition by source order by draw rows between unbounded preceding and 1 preceding), 0) as before
+  from (select source, draw, sum(size) as size from draws group by source, draw)
+), bounds as (
+  select r.source, source_size, target, rate, max(draw) filter (before + size / 2 <= target - floor(rate) * source_size) as bound
+  from rated r join summed s on r.source is not distinct from s.source group by r.source, source_size, target, rate
 )
 select doc_id, size, source_size, target, copies * size as taken, copies from (
-  select *, cast(floor(rate) as bigint) + case when draw < rate - floor(rate) then 1 else 0 end as copies from drawn)
+  select *, cast(floor(rate) as bigint) + case when coalesce(draw <= bound, false) then 1 else 0 end as copies
+  from draws d join bounds b on d.source is not distinct from b.source)
 """
