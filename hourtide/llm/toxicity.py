@@ -91,6 +91,17 @@ def _term_counts(terms: dict[bytes, int], batches: Iterator[pa.RecordBatch]) ->
         )
 
 
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, n): in how many of the task's documents each term occurs."""
+    sums = np.zeros(0, dtype=np.int64)
+    for batch in batches:
+        met = np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=len(sums))
+        met[: len(sums)] += sums
+        sums = met
+    terms = np.flatnonzero(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(sums[terms], pa.int64())], ["term", "n"])
+
+
 class BlockMaxIndex:
     """Entries (vector, examples, toxic examples, an example's id) in blocks, with the largest weight of
     each term in each block. Entries are sorted by their terms, so a block holds similar ones."""
@@ -254,7 +265,9 @@ def toxicity(
         return marked.mapInArrow(lambda batches: _term_counts(table.value, batches), shape)
 
     all_vectors = stage(vectors(rows), "vectors")
-    met = all_vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
+    # Each task adds up its own documents: a row per task and term, of at most ``most_terms``.
+    counted = all_vectors.select("terms").mapInArrow(_document_counts, "term int, n bigint")
+    met = counted.groupBy("term").agg(F.sum("n").alias("n")).collect()
     n_docs = all_vectors.count()
     idf = np.full(len(terms), math.log(1 + n_docs) + 1.0)
     for r in met:
