@@ -497,7 +497,9 @@ def lm_scores(
     hot = {r["c0"]: r["c1"] for r in numbers_of(words("often"), 2).collect()} | {BEGIN: n_texts}
     hot_keys = np.array(sorted(hot), dtype=np.uint64)
 
-    texts = blocks.select(F.lit("texts").alias("kind"), "block", F.lit(0).alias("bucket"), "data", "ids")
+    # Hashes and counts have done their work: the answers stand in for them.
+    kept = F.slice("data", 1, 3).alias("data")
+    texts = blocks.select(F.lit("texts").alias("kind"), "block", F.lit(0).alias("bucket"), kept, "ids")
     no_ids = F.lit(None).cast(f"array<{kind}>").alias("ids")
     with_words = texts.unionByName(words("word").select("*", no_ids))
     pairs = with_words.groupBy("block").applyInPandas(with_args(_pair_requests, hot_keys, buckets, n_train), RECORD)
