@@ -1,9 +1,11 @@
 """Licence recognition by sentences and rules, with DataFrame functions only.
 
-A text is cut into sentences, each sentence is normalised and looked up among known licence sentences, and
-the numbers of those found, in order, are matched against rules: sequences of sentence numbers. Longer
-rules go first and use up what they match, so a full licence is not reported again as a part of it. All
-of it happens within the row: nothing is shuffled, and a row needs no other.
+A text is normalised to words with marks where a sentence may begin or end. Known licence sentences are
+searched between such marks, and the numbers of those found, in order, are matched against rules: sequences
+of sentence numbers. Line ends, colons and semicolons are marks that a sentence may also run across, since
+notices are wrapped and have them inside; the ends of sentences are not. Longer rules go first and use up
+what they match, so a full licence is not reported again as a part of it. All of it happens within the
+row: nothing is shuffled, and a row needs no other.
 """
 
 from __future__ import annotations
@@ -71,8 +73,13 @@ RULES = (
     ("proprietary", (5,)),
     ("public-domain", (21,)),
 )
+#: Where the SQL cuts: no sentence of its runs across a line end, a colon or a semicolon.
 END_OF_SENTENCE = r"([.!?;:]|\*/)[ \t\r\n]+"
 NOT_WORD = "[^A-Za-z0-9]+"
+#: The marks: a sentence ends here, and one may end here.
+HARD, SOFT = "\x01", "\x02"
+HARD_END = r"(?:[.!?]|\*/)[ \t\r\n]+"
+SOFT_END = r"[:;][ \t\r\n]+|\n"
 
 
 def longest_first(rules=RULES) -> list[tuple[str, str]]:
@@ -82,12 +89,23 @@ def longest_first(rules=RULES) -> list[tuple[str, str]]:
 
 
 def sentence_numbers(text: Column, sentences: dict[int, str] = SENTENCES) -> Column:
-    """The numbers of the known sentences of a text, in order, as an array. The table of known sentences
-    is a parameter of bounded size, held in the plan."""
-    lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), END_OF_SENTENCE, "$1\n"), "\n")
+    """The numbers of the known sentences of a text, in order, as an array. Of sentences that begin at the
+    same place the longest counts. The table of known sentences is a parameter of bounded size, held in
+    the plan."""
+    if not sentences:
+        return F.array().cast("array<int>")
+    # The marks' own characters are neither words nor blanks where a text has them.
+    marked = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(HARD), F.lit(",")), F.lit(SOFT), F.lit(","))
+    marked = F.regexp_replace(F.regexp_replace(marked, HARD_END, HARD), SOFT_END, SOFT)
+    words = F.lower(F.regexp_replace(marked, f"[^A-Za-z0-9{HARD}{SOFT}]+", " "))
+    between = f"[ {SOFT}]+"
+    longest = sorted(sentences.values(), key=lambda w: (-len(w), w))
+    pattern = (
+        f"(?<=(?:^|[{HARD}{SOFT}]) ?)(?:{'|'.join(w.replace(' ', between) for w in longest)})(?= ?(?:[{HARD}{SOFT}]|\\z))"
+    )
     known = F.create_map(*[F.lit(x) for number, words in sentences.items() for x in (words, number)])
-    found = F.transform(lines, lambda s: F.try_element_at(known, F.lower(F.trim(F.regexp_replace(s, NOT_WORD, " ")))))
-    return F.filter(found, lambda n: n.isNotNull())
+    found = F.regexp_extract_all(words, F.lit(pattern), F.lit(0))
+    return F.transform(found, lambda s: F.element_at(known, F.regexp_replace(s, between, " ")))
 
 
 def scan_licences(df: DataFrame, id: str = "doc_id", text: str = "text", sentences: dict[int, str] = SENTENCES, rules=RULES) -> DataFrame:
@@ -96,6 +114,8 @@ def scan_licences(df: DataFrame, id: str = "doc_id", text: str = "text", sentenc
     ``sentence_ids`` and ``licences`` are comma-joined, the licences sorted and named once each. A rule
     needs its sentences next to each other among those recognised, whatever stands between them in the
     text. Null and empty texts have no sentences and empty lists. Repeated rows are repeated in the result.
+    The query's SQL reads each line and each part between colons or semicolons alone: where no known
+    sentence runs across one, both agree.
     """
     found = df.select(df[f"`{id}`"].alias("doc_id"), sentence_numbers(df[f"`{text}`"], sentences).alias("numbers"))
     # Commas doubled, so that neighbouring matches do not share one.

@@ -73,3 +73,68 @@ def test_licences_by_rules(spark):
     found = [(r["sentence_ids"], r["licences"]) for r in licences.scan_licences(df).orderBy("doc_id").collect()]
     assert found == [("22,6,7,8", "MIT"), ("6,7,8", "MIT"), ("1,5", "MIT,proprietary"), ("4", "CC-BY-NC-4.0"), ("", ""), ("", ""),
                      ("12,13,14", "BSD-2-Clause"), ("12,14,13", ""), ("5,5", "proprietary")]
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+"""
+APACHE = """# Copyright 2020 Somebody
+#
+# Licensed under the Apache License, Version 2.0
+# (the "License"); you may not use this file except in compliance
+# with the License. You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, ...
+"""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details. */
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_standard_notices_as_they_are_wrapped(spark):
+    texts = [MIT, APACHE, GPL, BSD, BSD[: BSD.index("3.")], "x = 1\n// SPDX-License-Identifier: MIT\ny = 2", "# SPDX-License-Identifier: Apache-2.0",
+             "/* SPDX-License-Identifier: GPL-3.0-or-later */", MIT.replace("\n", "\r\n"), "SPDX-License-Identifier: MIT OR Apache-2.0",
+             "All. Rights reserved.", "all\x02rights reserved", "We keep not all rights reserved.", "Mind: all rights\nreserved; thanks"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = [(r["sentence_ids"], r["licences"]) for r in licences.scan_licences(df).orderBy("doc_id").collect()]
+    assert found == [("22,6,7,8", "MIT"), ("9,10,11", "Apache-2.0"), ("16,17,18", "GPL-3.0"), ("12,13,14,15", "BSD-3-Clause"), ("12,13,14", "BSD-2-Clause"),
+                     ("23", "MIT"), ("24", "Apache-2.0"), ("25", "GPL-3.0"), ("22,6,7,8", "MIT"), ("", ""), ("", ""), ("5", "proprietary"), ("", ""), ("5", "proprietary")]
