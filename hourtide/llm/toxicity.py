@@ -1,7 +1,9 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 1. A bounded number of labelled documents, the first by a hash of their ids, are the examples. Words and
-   word beginnings whose presence depends on the label (chi-square) are the terms of the vectors.
+   word beginnings whose presence depends on the label are the terms of the vectors: Fisher's exact test
+   at one level, which few examples of a clear word pass and many of an unclear one do not; the strongest
+   come first where they are more than the bound.
 2. One pass over all documents counts those terms; document frequencies are taken over all documents.
 3. Equal example vectors become one entry with its numbers of good and bad examples. The entries form an
    inverted index cut into blocks: for each term and block the postings and their largest weight. The
@@ -28,8 +30,8 @@ from hourtide.llm.common import LOWER_BYTES, crc32_remainder, renamed, stage
 #: Labelled documents that are examples, and terms of their vectors: the bounds of the model.
 MOST_EXAMPLES = 20_000
 MOST_TERMS = 2_000
-LEAST_CHI2 = 40.0
-LEAST_DOCS = 5
+#: The largest p-value of a term.
+LEVEL = 0.001
 #: Word beginnings of so many bytes are terms, besides whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 NEAREST = 10
@@ -209,19 +211,43 @@ def examples_of(labels: DataFrame, id: str, label: str, most: int) -> DataFrame:
     return open_.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def chosen_terms(examples: DataFrame, least_chi2: float, most_terms: int) -> list[bytes]:
-    """At most ``most_terms`` terms of ``examples`` (text, toxic) by chi-square of presence and label."""
+def exact_tests(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """The two-sided p-values of Fisher's exact test (twice the smaller tail) of terms in so many toxic and
+    clean examples."""
+    total = n_toxic + n_clean
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, total + 1)))])
+    p = np.ones(len(toxic))
+    for i, (a, b) in enumerate(zip(toxic.tolist(), clean.tolist())):
+        m = a + b
+        k = np.arange(max(0, m - n_clean), min(m, n_toxic) + 1)
+        ways = logs[n_toxic] - logs[k] - logs[n_toxic - k] + logs[n_clean] - logs[m - k] - logs[n_clean - m + k]
+        chance = np.exp(ways - (logs[total] - logs[m] - logs[total - m]))
+        at = a - k[0]
+        p[i] = min(1.0, 2 * min(chance[: at + 1].sum(), chance[at:].sum()))
+    return p
+
+
+def chosen_terms(examples: DataFrame, level: float, most_terms: int) -> list[bytes]:
+    """At most ``most_terms`` terms of ``examples`` (text, toxic) by the exact test of presence and label.
+    The pairs of counts that occur come to the driver, a small part of the terms."""
     totals = examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()
-    n = {r["toxic"]: float(r["n"]) for r in totals}
+    n = {r["toxic"]: r["n"] for r in totals}
     if len(n) < 2:
         return []
     each = examples.select("text", "toxic").mapInArrow(_example_terms, "term binary, toxic bigint, clean bigint")
-    met = each.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    a, b, pos, neg = F.col("a").cast("double"), F.col("b").cast("double"), F.lit(n[1]), F.lit(n[0])
-    rest = pos + neg - a - b
-    chi2 = F.try_divide((pos + neg) * F.pow(a * (neg - b) - b * (pos - a), 2), pos * neg * (a + b) * rest)
-    kept = met.where(F.col("a") + F.col("b") >= LEAST_DOCS).select("term", chi2.alias("chi2")).where(F.col("chi2") >= least_chi2)
-    return [bytes(r["term"]) for r in kept.orderBy(F.desc("chi2"), "term").limit(most_terms).collect()]
+    met = stage(each.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")), "example-terms")
+    pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    a, b, terms = (pairs.column(c).to_numpy() for c in ("a", "b", "n"))
+    p = exact_tests(a, b, n[1], n[0])
+    # The strongest pairs until their terms are enough.
+    kept = np.flatnonzero(p <= level)
+    kept = kept[np.lexsort((b[kept], a[kept], p[kept]))]
+    kept = kept[np.cumsum(terms[kept]) - terms[kept] < most_terms]
+    if not len(kept):
+        return []
+    strong = examples.sparkSession.createDataFrame([(int(a[i]), int(b[i]), rank) for rank, i in enumerate(kept)], "a bigint, b bigint, rank int")
+    ranked = met.join(F.broadcast(strong), ["a", "b"]).orderBy("rank", "term").limit(most_terms)
+    return [bytes(r["term"]) for r in ranked.select("term").collect()]
 
 
 def toxicity(
@@ -233,7 +259,7 @@ def toxicity(
     label_id: str = "doc_id",
     most_examples: int = MOST_EXAMPLES,
     most_terms: int = MOST_TERMS,
-    least_chi2: float = LEAST_CHI2,
+    level: float = LEVEL,
     nearest: int = NEAREST,
     threshold: float = THRESHOLD,
     learn_from: DataFrame | None = None,
@@ -256,7 +282,7 @@ def toxicity(
     chosen = stage(examples_of(labels, label_id, label, most_examples), "examples")
     # At most ``most_examples`` rows of an id and a label.
     known = stage(texts.where(F.col("doc_id").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "example-texts")
-    terms = {term: number for number, term in enumerate(chosen_terms(known, least_chi2, most_terms))}
+    terms = {term: number for number, term in enumerate(chosen_terms(known, level, most_terms))}
     shape = f"doc_id {kind}, mark bigint, terms array<int>, counts array<int>"
     table = spark.sparkContext.broadcast(terms)
 

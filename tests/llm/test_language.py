@@ -206,6 +206,29 @@ def test_held_out_labels_do_not_matter(documents, spark, sf_dir):
     assert scores[0] == scores[1]
 
 
+def labelled(spark, texts):
+    """Documents (text, toxic or None), ids outside the held-out fold, and their labels."""
+    ids = [i for i in range(1, 1000) if split_of(i, 4) != 2][: len(texts)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, texts)], "doc_id bigint, text string")
+    labels = [(i, x) for i, (_, x) in zip(ids, texts) if x is not None]
+    return docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), ids
+
+
+def test_few_examples_give_terms(spark):
+    """Four toxic examples among forty, and a word in a third of the toxic half of sixty."""
+    for n, toxic, marked in ((40, 4, 4), (60, 30, 10)):
+        texts = [("plain words scum here" if i < marked else f"plain words w{chr(97 + i % 26)} here", int(i < toxic)) for i in range(n)]
+        docs, labels, ids = labelled(spark, texts + [("scum of another sort", None)])
+        found = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, labels).collect()}
+        assert all(found[i] for i in ids[:marked]) and found[ids[-1]] == 1
+
+
+def test_toxic_documents_leave_a_small_corpus(spark, sf_dir, documents):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")
+    kept = corpus_pipeline.reject_toxic(spark, documents, sf_dir).join(labels, "doc_id", "left_semi").count()
+    assert kept <= documents.join(labels, "doc_id", "left_semi").count() / 2
+
+
 # --- decontamination --------------------------------------------------------------------------------
 
 
