@@ -118,7 +118,8 @@ class BlockMaxIndex:
         examples, toxic = self.n.sum() + sum(e[2] for e in empty), self.toxic.sum() + sum(e[3] for e in empty)
         # With a pinch of clean examples: nothing is labelled toxic without evidence.
         self.base = (toxic + 0.1) / (examples + 1.0)
-        self.empty = (sum(e[2] for e in empty), sum(e[3] for e in empty))
+        #: The score of a text without terms: the pinch alone.
+        self.without = 0.1 / (examples + 1.0)
         self.blocks = -(-len(entries) // BLOCK)
         postings: dict[int, tuple[list[int], list[float]]] = {}
         for number, (terms, counts, *_) in enumerate(entries):
@@ -170,8 +171,7 @@ class BlockMaxIndex:
     def score(self, terms, counts, k: int = NEAREST) -> tuple[float, list[object], list[float]]:
         """The toxic share of the votes, and the evidence: nearest examples and their cosines."""
         if not terms:
-            n, toxic = self.empty
-            return (toxic + PRIOR_WEIGHT * self.base) / (n + PRIOR_WEIGHT), [], []
+            return self.without, [], []
         numbers, cosines = self.nearest(terms, counts, k)
         votes = self.n[numbers] / (1 - np.minimum(cosines, 1.0) + SOFTEN)
         share = self.toxic[numbers] / self.n[numbers]
@@ -267,9 +267,9 @@ def toxicity(
     """One row per row of ``df``: doc_id, held_out, score, predicted, evidence, cosines, mark.
 
     Labels are used of at most ``most_examples`` documents whose crc32(id) mod 4 is not 2; their texts come
-    from ``learn_from`` (default: ``df``). A text without terms (null and empty ones too) is compared with
-    the examples without terms. Without labels, or with labels of one kind only, no text has terms and
-    every score is the base rate, near 0. Rows are scored alone, so repeated rows score alike. ``evidence``
+    from ``learn_from`` (default: ``df``). A text without terms (null and empty ones too) has no evidence
+    against it: whatever the labels' shares, its score is 0.1 / (examples + 1), near 0 where there are many
+    examples and 0.1 without any. Without labels, or with labels of one kind only, no text has terms. Rows are scored alone, so repeated rows score alike. ``evidence``
     has the ids of the nearest examples, one per distinct vector, with their ``cosines``. ``mark``
     (xxhash64 of the text) tells rows of one id apart. Jobs run when this is called; what comes to the
     driver is bounded by ``most_examples`` and ``most_terms``.

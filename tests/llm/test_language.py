@@ -229,6 +229,16 @@ def test_toxic_documents_leave_a_small_corpus(spark, sf_dir, documents):
     assert kept <= documents.join(labels, "doc_id", "left_semi").count() / 2
 
 
+def test_texts_without_terms_stay(spark):
+    """Labels of one kind, and a balanced table in which most toxic examples have no term."""
+    docs, labels, ids = labelled(spark, [(f"words {i} of any kind", 1) for i in range(30)])
+    assert {r["doc_id"] for r in toxicity.clean(docs, labels).collect()} == set(ids)
+    texts = [("plain scum words" if i < 10 else "plain words", int(i < 30)) for i in range(60)] + [("plain words", None), (None, None)]
+    docs, labels, ids = labelled(spark, texts)
+    assert {r["doc_id"] for r in toxicity.clean(docs, labels).collect()} == set(ids[10:])
+    assert toxicity.toxicity(docs, labels).agg(F.min("score")).first()[0] < 0.01
+
+
 # --- decontamination --------------------------------------------------------------------------------
 
 
