@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourtide.llm import decontaminate, grace_dedup, hard_negatives, hilbert, host_reputation, licences, mixing, packing, pitman_yor, simhash, toxicity
+from hourtide.llm import cutting_stock, decontaminate, grace_dedup, hard_negatives, hilbert, host_reputation, licences, mixing, packing, pitman_yor, prefix_trie, simhash, toxicity
 from hourtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,11 +68,21 @@ def op10_licence_scan(spark, sf_dir):
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_cutting_stock(spark, sf_dir):
+    return cutting_stock.pack_by_patterns(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 ORACLE["op1_grace_dedup"] = """
 with texts as (
   select doc_id, cast(length(coalesce(text, '')) as bigint) as n_chars,
@@ -88,3 +98,4 @@ ORACLE["op7_prefix_decontamination"] = decontaminate.SQL
 ORACLE["op9_source_mix"] = mixing.SQL
 ORACLE["op10_licence_scan"] = licences.SQL
 ORACLE["op12_hard_negatives"] = hard_negatives.SQL
+ORACLE["op13_prefix_trie"] = prefix_trie.SQL
