@@ -42,11 +42,13 @@ GAP = 0.002
 MOST_ROUNDS = 4000
 #: A sequence may be padded by this share; others are cut at powers of two.
 PADDING = 1 / 32
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
+TEXTS = 64
 #: Texts are encoded in parts of about so many letters, and so many new words at once.
 PART = 1 << 20
-#: The vocabulary cuts words at white space, so that a text is the words between its blanks.
-WORDS = re.compile(r"[^ \t\n\v\f\r]+")
+#: The vocabulary cuts at white space and between letters and what is none, so that a text is the words between its
+#: blanks, without the marks that end them. (The letter left out becomes two when it is made small.)
+WORDS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+(?=[.,;:!?])|[^ \t\n\v\f\r]+")
 BLANK = re.compile(r"[ \t\n\v\f\r]")
 
 
@@ -59,13 +61,27 @@ class Words:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
+        #: A special token that stands between words: the tokenizer cuts there before anything else.
+        special = [(number, token.content) for number, token in self.tokenizer.get_added_tokens_decoder().items() if token.special]
+        self.between = special[0] if special else None
+
+    def ids_of(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
 
     def learn(self, words: set[str]) -> None:
+        """Encode words together, or one by one where they hold what stands between."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known = {}
-        new = list(words)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype=self.kind).tobytes()
+        joined = [w for w in words if self.between and self.between[1] not in w]
+        if joined:
+            ids = self.ids_of(self.between[1].join(joined))
+            ends = np.append(np.flatnonzero(ids == self.between[0]), len(ids)).tolist()
+            begin = 0
+            for word, end in zip(joined, ends):
+                self.known[word] = ids[begin:end].tobytes()
+                begin = end + 1
+        for word in words - set(joined):
+            self.known[word] = self.ids_of(word).tobytes()
 
     def parts(self, text: str) -> Iterator[list[str]]:
         """The words of bounded parts of a text; a part ends behind a word."""
@@ -76,13 +92,22 @@ class Words:
             yield WORDS.findall(text, begin, end)
             begin = end
 
+    def meet(self, words: set[str]) -> None:
+        """Make all ``words`` known."""
+        if new := {w for w in words if w not in self.known}:
+            self.learn(new)
+            # Where there was no room beside those known, these are forgotten.
+            if len(new) < len(words) and any(w not in self.known for w in words):
+                self.learn(words)
+
+    def meet_all(self, texts: list[str]) -> None:
+        """Make the words of several short texts known at once: encoding few words takes as long as many."""
+        self.meet({w for text in texts if len(text) < PART for w in WORDS.findall(text)})
+
     def encode(self, text: str) -> bytes:
         ids = []
         for words in self.parts(text):
-            if new := set(words) - self.known.keys():
-                self.learn(new)
-                if not self.known.keys() >= set(words):
-                    self.learn(set(words))
+            self.meet(set(words))
             ids.append(b"".join(map(self.known.__getitem__, words)))
         return b"".join(ids)
 
@@ -106,7 +131,10 @@ def _encoded(vocabulary: str, end_id: int, room: int, width: int, batches: Itera
     tails = np.zeros(-(-room // width) + 1, dtype=np.int64)
     for batch in batches:
         numbers, ids, lengths, classes, places, before, crcs, tail_crcs = [], [], [], [], [], [], [], []
-        for text in pc.fill_null(batch.column(1), "").to_pylist():
+        texts = pc.fill_null(batch.column(1), "").to_pylist()
+        for nth, text in enumerate(texts):
+            if nth % TEXTS == 0:
+                words.meet_all(texts[nth : nth + TEXTS])
             own = np.append(np.frombuffer(words.encode(text), dtype=words.kind), words.kind.type(end_id))
             tail = len(own) % room
             at = class_of(tail, room, width)
