@@ -1,21 +1,23 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-1. A bounded number of labelled documents, the first by a hash of their ids, are the examples. Words and
-   word beginnings whose presence depends on the label are the terms of the vectors: Fisher's exact test
-   at one level, which few examples of a clear word pass and many of an unclear one do not; the strongest
-   come first where they are more than the bound.
-2. One pass over all documents counts those terms; document frequencies are taken over all documents.
+1. A bounded number of labelled documents, the first by a hash of their ids, are the examples. Their words and how
+   these begin are the terms; none is left out for want of evidence. A term's weight is its TF-IDF times the square of how
+   far its share of toxic examples, drawn towards the common share as if 20 more examples were seen, lies from
+   that on the log-odds scale. So what says nothing about the label hardly counts, whatever the number of examples.
+2. One pass over all documents counts in how many of them each term occurs.
 3. Equal example vectors become one entry with its numbers of good and bad examples. The entries form an
-   inverted index cut into blocks: for each term and block the postings and their largest weight. The
-   sum of a query's largest weights bounds every cosine in a block, so blocks are read in the order of
-   their bounds until no bound exceeds the k-th best cosine: the search is exact. The index is bounded by
-   the number of examples and sent to every task; each task remembers the vectors it has met.
-4. Each near entry votes with its examples, weighted by closeness; the base rate votes with a small weight.
+   inverted index in blocks of similar entries. Weights are never negative, so for a batch of texts the postings
+   of all but the most frequent terms give lower bounds of all cosines, and with each block's largest weights of the frequent terms
+   upper bounds per block. Only blocks whose bound reaches the k-th best lower bound are completed, by a matrix
+   product for all texts of the batch that need them: the search is exact. The index is bounded by the number of
+   examples and sent to every task.
+4. Each near entry votes with its examples, weighted by its squared cosine over its distance; a small prior votes against.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,181 +27,271 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourtide.llm.common import LOWER_BYTES, crc32_remainder, renamed, stage
+from hourtide.llm.common import LOWER, UPPER, crc32_remainder, renamed, stage
 
-#: Labelled documents that are examples, and terms of their vectors: the bounds of the model.
-MOST_EXAMPLES = 20_000
-MOST_TERMS = 2_000
-#: The largest p-value of a term.
-LEVEL = 0.001
-#: Word beginnings of so many bytes are terms, besides whole words.
-BEGINNINGS = (4, 5, 6, 7, 8)
+#: Labelled documents that are examples: the bound of the model.
+MOST_EXAMPLES = 5_000
+#: Beginnings of words of so many letters are terms, besides whole words.
+BEGINNINGS = (3, 5, 7)
+#: Examples of the common share that a term is taken to have been seen in besides its own.
+SEEN_BEFORE = 20
 NEAREST = 10
 BLOCK = 64
+#: The terms that most entries hold make up the part of the index that blocks bound.
+FREQUENT = 512
 #: Added to a distance before it divides a vote.
 SOFTEN = 0.1
 PRIOR_WEIGHT = 1.0
+#: The prior is the common share of toxic examples, but never so much that texts are toxic without evidence.
+MOST_PRIOR = 0.1
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
+#: Texts, and letters, that are looked at together; words whose terms are remembered; counts in a row.
+TEXTS, LETTERS = 128, 1 << 21
 REMEMBERED = 1 << 17
+COUNTS = 4096
 
 #: Letters in lower case; what is ASCII and no letter becomes a blank.
-SPELL = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in LOWER_BYTES)
+SPELL = {c: " " for c in range(128) if not chr(c).isalpha()} | str.maketrans(UPPER, LOWER)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.translate(SPELL).split()
+def words_of(text: str) -> list[str]:
+    return [w for w in text.translate(SPELL).split(" ") if w]
 
 
-def beginnings(words: set[bytes]) -> set[bytes]:
-    """The terms for how words begin; a word itself has no star."""
-    return {w[:n] + b"*" for n in BEGINNINGS for w in words if len(w) >= n}
+def terms_of(word: str) -> list[str]:
+    """The word, and its beginnings with a star that no word has."""
+    return [word, *[f"{word[:n]}*" for n in BEGINNINGS if len(word) > n]]
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, toxic, clean): in how many of the task's examples of either label each term occurs."""
     seen = (Counter(), Counter())
     for batch in batches:
-        for text, toxic in zip(pc.fill_null(batch.column(0), "").cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-            words = set(words_of(text))
-            seen[toxic].update(words)
-            seen[toxic].update(beginnings(words))
+        for text, toxic in zip(pc.fill_null(batch.column(0), "").to_pylist(), batch.column(1).to_pylist()):
+            seen[toxic].update({t for w in set(words_of(text)) for t in terms_of(w)})
     terms = list(seen[0].keys() | seen[1].keys())
     for begin in range(0, len(terms), 100_000):
         part = terms[begin : begin + 100_000]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.binary()), pa.array([seen[1][t] for t in part], pa.int64()), pa.array([seen[0][t] for t in part], pa.int64())],
+            [pa.array(part, pa.string()), pa.array([seen[1][t] for t in part], pa.int64()), pa.array([seen[0][t] for t in part], pa.int64())],
             ["term", "toxic", "clean"],
         )
 
 
-def _term_counts(terms: dict[bytes, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, mark, terms, counts): the terms of each text, in order of their numbers."""
-    by_length = {n: {t[:-1]: k for t, k in terms.items() if t.endswith(b"*") and len(t) == n + 1} for n in BEGINNINGS}
+class Terms:
+    """Numbers of terms, and the counts of texts by them."""
+
+    def __init__(self, numbers: dict[str, int]) -> None:
+        self.numbers, self.known = numbers, {}
+
+    def of_word(self, word: str) -> list[int]:
+        found = [n for t in terms_of(word) if (n := self.numbers.get(t)) is not None]
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        self.known[word] = found
+        return found
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the text, term, count), in order of both."""
+        size = max(1, len(self.numbers))
+        keys, times = [], []
+        for place, text in enumerate(texts):
+            for word, n in Counter(words_of(text)).items():
+                found = self.known.get(word)
+                if found is None:
+                    found = self.of_word(word)
+                if found:
+                    keys.extend([place * size + t for t in found])
+                    times.extend([n] * len(found))
+        keys, where = np.unique(np.array(keys, dtype=np.int64), return_inverse=True)
+        counts = np.bincount(where, weights=np.array(times, dtype=np.float64), minlength=len(keys))
+        return keys // size, keys % size, counts
+
+
+def bounded(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts, with the place of their first, of a bounded number of letters or one text."""
+    begin, letters = 0, 0
+    for end, text in enumerate(texts):
+        if end > begin and (end - begin == TEXTS or letters + len(text) > LETTERS):
+            yield begin, texts[begin:end]
+            begin, letters = end, 0
+        letters += len(text)
+    if texts:
+        yield begin, texts[begin:]
+
+
+def _document_counts(terms, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, counts): in how many of the task's documents each term occurs, part by part; part -1 has their number."""
+    known = Terms(terms.value)
+    sums, rows = np.zeros(len(known.numbers), dtype=np.int64), 0
+    for batch in batches:
+        rows += batch.num_rows
+        for _, texts in bounded(pc.fill_null(batch.column(0), "").to_pylist()):
+            sums += np.bincount(known.counts(texts)[1], minlength=len(sums))
+    parts = [(-1, np.array([rows]))] + [(b // COUNTS, sums[b : b + COUNTS]) for b in range(0, len(sums), COUNTS)]
+    parts = [(p, zlib.compress(s.astype("<i8").tobytes(), 1)) for p, s in parts if s.any()]
+    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([s for _, s in parts], pa.binary())], ["part", "counts"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of each part, from rows in order of parts."""
+    at, sums = None, None
+    done: list[tuple[int, bytes]] = []
+    for batch in batches:
+        for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts = np.frombuffer(zlib.decompress(packed), dtype="<i8")
+            if part == at:
+                sums = sums + counts
+                continue
+            if at is not None:
+                done.append((at, sums.tobytes()))
+            at, sums = part, counts
+    if at is not None:
+        done.append((at, sums.tobytes()))
+    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.int32()), pa.array([s for _, s in done], pa.binary())], ["part", "counts"])
+
+
+def _vectors(terms, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, toxic, terms, counts) of examples (doc_id, toxic, text)."""
+    known = Terms(terms.value)
     for batch in batches:
         numbers, counts = [], []
-        for text in pc.fill_null(batch.column(2), "").cast(pa.binary()).to_pylist():
-            words = words_of(text)
-            met = [terms[w] for w in words if w in terms]
-            for n, begun in by_length.items():
-                # A slice of a word too short is shorter than any key.
-                met += [begun[w[:n]] for w in words if w[:n] in begun]
-            found = sorted(Counter(met).items())
-            numbers.append([n for n, _ in found])
-            counts.append([c for _, c in found])
+        for text in pc.fill_null(batch.column(2), "").to_pylist():
+            _, found, times = known.counts([text])
+            numbers.append(found.tolist())
+            counts.append(times.astype(np.int64).tolist())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(numbers, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-            ["doc_id", "mark", "terms", "counts"],
+            ["doc_id", "toxic", "terms", "counts"],
         )
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, n): in how many of the task's documents each term occurs."""
-    sums = np.zeros(0, dtype=np.int64)
-    for batch in batches:
-        met = np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=len(sums))
-        met[: len(sums)] += sums
-        sums = met
-    terms = np.flatnonzero(sums)
-    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(sums[terms], pa.int64())], ["term", "n"])
+def relevance(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """The squared distance of a term's shrunken share of toxic examples from the common one, in log-odds."""
+    share = n_toxic / (n_toxic + n_clean)
+    own = (toxic + SEEN_BEFORE * share) / (toxic + clean + SEEN_BEFORE)
+    away = np.log(own / (1 - own)) - math.log(share / (1 - share))
+    # What is away by rounding alone is not away.
+    return np.where(np.abs(away) > 1e-9, away, 0.0) ** 2
 
 
 class BlockMaxIndex:
-    """Entries (vector, examples, toxic examples, an example's id) in blocks, with the largest weight of
-    each term in each block. Entries are sorted by their terms, so a block holds similar ones."""
-
-    def __init__(self, idf: np.ndarray, entries: list[tuple[tuple[int, ...], tuple[int, ...], int, int, object]]) -> None:
-        self.idf = idf
-        empty = [e for e in entries if not e[0]]
-        entries = sorted(((e[0], e[1], *e[2:]) for e in entries if e[0]), key=lambda e: (e[0], e[1]))
-        self.n = np.array([e[2] for e in entries], dtype=float)
-        self.toxic = np.array([e[3] for e in entries], dtype=float)
-        self.ids = [e[4] for e in entries]
-        examples, toxic = self.n.sum() + sum(e[2] for e in empty), self.toxic.sum() + sum(e[3] for e in empty)
-        # With a pinch of clean examples: nothing is labelled toxic without evidence.
-        self.base = (toxic + 0.1) / (examples + 1.0)
-        #: The score of a text without terms: the pinch alone.
+    """Entries (terms, counts, examples, toxic examples, an example's id) under ``weights`` of the terms."""
+
+    def __init__(self, weights: np.ndarray, entries: list[tuple[tuple[int, ...], tuple[int, ...], int, int, object]], frequent: int = FREQUENT) -> None:
+        self.weights = weights
+        examples, toxic = sum(e[2] for e in entries), sum(e[3] for e in entries)
+        self.prior = min(MOST_PRIOR, (toxic + 0.1) / (examples + 1.0))
+        #: The score of a text without terms: a pinch of doubt.
         self.without = 0.1 / (examples + 1.0)
-        self.blocks = -(-len(entries) // BLOCK)
-        postings: dict[int, tuple[list[int], list[float]]] = {}
-        for number, (terms, counts, *_) in enumerate(entries):
-            for term, weight in zip(terms, self.weights(terms, counts)):
-                at = postings.setdefault(term, ([], []))
-                at[0].append(number)
-                at[1].append(weight)
-        self.postings = {}
-        for term, (numbers, weights) in postings.items():
-            numbers, weights = np.array(numbers), np.array(weights)
-            blocks, starts = np.unique(numbers // BLOCK, return_index=True)
-            bounds = np.append(starts, len(numbers))
-            self.postings[term] = (blocks, np.maximum.reduceat(weights, starts), bounds, numbers, weights, {int(b): i for i, b in enumerate(blocks)})
-
-    def weights(self, terms, counts) -> np.ndarray:
-        """TF-IDF weights of length one."""
-        raw = (1 + np.log(np.array(counts, dtype=float))) * self.idf[list(terms)]
-        return raw / math.sqrt(float(raw @ raw))
-
-    def nearest(self, terms, counts, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k entries with the largest positive cosine, exactly; equal cosines
-        go to the earlier entry."""
-        query = [(self.postings[t], w) for t, w in zip(terms, self.weights(terms, counts)) if t in self.postings]
-        bound = np.zeros(self.blocks)
-        for (blocks, largest, *_), w in query:
-            bound[blocks] += w * largest
-        order = np.argsort(-bound, kind="stable")
-        numbers, cosines, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-        for block in order.tolist():
-            # Rounding may put a bound a little below a cosine it bounds.
-            if bound[block] <= 0 or (len(numbers) == k and bound[block] < least - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for (_, _, bounds, entries, weights, where), w in query:
-                if (i := where.get(block)) is not None:
-                    part = slice(bounds[i], bounds[i + 1])
-                    scores[entries[part] - block * BLOCK] += w * weights[part]
-            hits = np.flatnonzero(scores)
-            numbers = np.append(numbers, hits + block * BLOCK)
-            cosines = np.append(cosines, scores[hits])
-            if len(numbers) > k:
-                best = np.lexsort((numbers, -np.round(cosines, 12)))[:k]
-                numbers, cosines = numbers[best], cosines[best]
-            if len(numbers) == k:
-                least = cosines.min()
-        best = np.lexsort((numbers, -np.round(cosines, 12)))
-        return numbers[best], cosines[best]
-
-    def score(self, terms, counts, k: int = NEAREST) -> tuple[float, list[object], list[float]]:
+        vectors = []
+        for terms, counts, *rest in entries:
+            terms = np.array(terms, dtype=np.int64)
+            raw = (1 + np.log(np.array(counts, dtype=float))) * weights[terms] if len(terms) else np.zeros(0)
+            if raw.any():
+                used = raw > 0
+                terms, raw = terms[used], raw[used] / math.sqrt(float(raw @ raw))
+                # Entries with the same strongest terms are neighbours, and so share a block.
+                strongest = terms[np.lexsort((terms, -np.round(raw, 9)))[:3]].tolist()
+                vectors.append((strongest, terms.tolist(), raw, *rest))
+        vectors.sort(key=lambda v: (v[0], v[1], v[2].tolist()))
+        self.size = len(vectors)
+        self.blocks = -(-self.size // BLOCK)
+        self.n = np.array([v[3] for v in vectors], dtype=float)
+        self.toxic = np.array([v[4] for v in vectors], dtype=float)
+        self.ids = [v[5] for v in vectors]
+        owner = np.repeat(np.arange(self.size), [len(v[1]) for v in vectors])
+        terms = np.concatenate([np.zeros(0, dtype=np.int64), *[np.array(v[1]) for v in vectors]]).astype(np.int64)
+        values = np.concatenate([np.zeros(0), *[v[2] for v in vectors]])
+        held = np.bincount(terms, minlength=len(weights))
+        common = np.argsort(-held, kind="stable")[:frequent]
+        common = common[held[common] > 0]
+        #: The column of a frequent term, -1 for others.
+        self.column = np.full(len(weights), -1)
+        self.column[common] = np.arange(len(common))
+        padded = self.blocks * BLOCK
+        self.dense = np.zeros((len(common), padded))
+        is_common = self.column[terms] >= 0
+        self.dense[self.column[terms[is_common]], owner[is_common]] = values[is_common]
+        self.largest = self.dense.reshape(len(common), self.blocks, BLOCK).max(axis=2) if self.blocks else np.zeros((len(common), 0))
+        order = np.argsort(terms[~is_common], kind="stable")
+        self.entries, self.values = owner[~is_common][order].astype(np.int32), values[~is_common][order]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms[~is_common], minlength=len(weights)))])
+
+    def nearest(self, place: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Numbers and cosines of the k entries with the largest positive cosine for each of ``n`` texts; equal ones,
+        to nine digits, go to the earlier entry."""
+        none = (np.zeros(0, dtype=np.int64), np.zeros(0))
+        raw = (1 + np.log(counts)) * self.weights[terms]
+        length = np.sqrt(np.bincount(place, weights=raw * raw, minlength=n))
+        used = raw > 0
+        if not self.size or not used.any():
+            return [none] * n
+        place, terms = place[used], terms[used]
+        weights = raw[used] / length[place]
+        column = self.column[terms]
+        common = column >= 0
+        padded = self.blocks * BLOCK
+        # The postings of the other terms, one after another.
+        start = self.starts[terms[~common]]
+        lengths = self.starts[terms[~common] + 1] - start
+        ends = np.cumsum(lengths)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - lengths), lengths)
+        keys = np.repeat(place[~common] * padded, lengths) + self.entries[at]
+        products = np.repeat(weights[~common], lengths) * self.values[at]
+        cosines = np.bincount(keys, weights=products, minlength=n * padded).astype(float).reshape(n, padded)
+        query = np.zeros((n, len(self.dense)))
+        query[place[common], column[common]] = weights[common]
+        bounds = cosines.reshape(n, self.blocks, BLOCK).max(axis=2) + query @ self.largest
+        # Rounding may put a bound a little below a cosine it bounds.
+        least = np.maximum(np.partition(cosines, max(0, padded - k), axis=1)[:, max(0, padded - k)], 0.0) - 1e-9
+        for block in range(self.blocks):
+            open_ = np.flatnonzero((bounds[:, block] >= least) & (bounds[:, block] > 0))
+            if len(open_):
+                part = slice(block * BLOCK, (block + 1) * BLOCK)
+                cosines[open_, part] += query[open_] @ self.dense[:, part]
+        cosines = np.round(cosines, 9)
+        worst = np.partition(cosines, max(0, padded - k), axis=1)[:, max(0, padded - k)]
+        found = []
+        for text in range(n):
+            numbers = np.flatnonzero((cosines[text] >= worst[text]) & (cosines[text] > 0))
+            best = numbers[np.lexsort((numbers, -cosines[text, numbers]))[:k]]
+            found.append((best, cosines[text, best]))
+        return found
+
+    def scores(self, place: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, k: int = NEAREST) -> list[tuple[float, list[object], list[float]]]:
         """The toxic share of the votes, and the evidence: nearest examples and their cosines."""
-        if not terms:
-            return self.without, [], []
-        numbers, cosines = self.nearest(terms, counts, k)
-        votes = self.n[numbers] / (1 - np.minimum(cosines, 1.0) + SOFTEN)
-        share = self.toxic[numbers] / self.n[numbers]
-        score = (float(votes @ share) + PRIOR_WEIGHT * self.base) / (float(votes.sum()) + PRIOR_WEIGHT)
-        return min(1.0, max(0.0, score)), [self.ids[i] for i in numbers], cosines.round(6).tolist()
-
-
-def _scores(index, nearest: int, id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[tuple, tuple] = {}
-    for batch in batches:
         out = []
-        for terms, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            key = (tuple(terms), tuple(counts))
-            if (found := known.get(key)) is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[key] = index.value.score(*key, nearest)
-            out.append(found)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array([s for s, _, _ in out], pa.float64()),
-                pa.array([e for _, e, _ in out], pa.list_(id_type)),
-                pa.array([c for _, _, c in out], pa.list_(pa.float64())),
-            ],
-            ["doc_id", "mark", "score", "evidence", "cosines"],
-        )
+        for numbers, cosines in self.nearest(place, terms, counts, n, k):
+            if not len(numbers):
+                out.append((self.without, [], []))
+                continue
+            votes = self.n[numbers] * cosines**2 / (1 - np.minimum(cosines, 1.0) + SOFTEN)
+            share = self.toxic[numbers] / self.n[numbers]
+            score = (float(votes @ share) + PRIOR_WEIGHT * self.prior) / (float(votes.sum()) + PRIOR_WEIGHT)
+            out.append((min(1.0, max(0.0, round(score, 9))), [self.ids[i] for i in numbers], cosines.round(6).tolist()))
+        return out
+
+
+def _scores(terms, index, nearest: int, id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = Terms(terms.value)
+    for batch in batches:
+        for begin, texts in bounded(pc.fill_null(batch.column(2), "").to_pylist()):
+            # Repeated texts of a run are scored once.
+            distinct = list(dict.fromkeys(texts))
+            found = dict(zip(distinct, index.value.scores(*known.counts(distinct), len(distinct), nearest)))
+            out = [found[t] for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(begin, len(texts)),
+                    batch.column(1).slice(begin, len(texts)),
+                    pa.array([s for s, _, _ in out], pa.float64()),
+                    pa.array([e for _, e, _ in out], pa.list_(id_type)),
+                    pa.array([c for _, _, c in out], pa.list_(pa.float64())),
+                ],
+                ["doc_id", "mark", "score", "evidence", "cosines"],
+            )
 
 
 def examples_of(labels: DataFrame, id: str, label: str, most: int) -> DataFrame:
@@ -211,43 +303,39 @@ def examples_of(labels: DataFrame, id: str, label: str, most: int) -> DataFrame:
     return open_.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def exact_tests(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """The two-sided p-values of Fisher's exact test (twice the smaller tail) of terms in so many toxic and
-    clean examples."""
-    total = n_toxic + n_clean
-    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, total + 1)))])
-    p = np.ones(len(toxic))
-    for i, (a, b) in enumerate(zip(toxic.tolist(), clean.tolist())):
-        m = a + b
-        k = np.arange(max(0, m - n_clean), min(m, n_toxic) + 1)
-        ways = logs[n_toxic] - logs[k] - logs[n_toxic - k] + logs[n_clean] - logs[m - k] - logs[n_clean - m + k]
-        chance = np.exp(ways - (logs[total] - logs[m] - logs[total - m]))
-        at = a - k[0]
-        p[i] = min(1.0, 2 * min(chance[: at + 1].sum(), chance[at:].sum()))
-    return p
-
-
-def chosen_terms(examples: DataFrame, level: float, most_terms: int) -> list[bytes]:
-    """At most ``most_terms`` terms of ``examples`` (text, toxic) by the exact test of presence and label.
-    The pairs of counts that occur come to the driver, a small part of the terms."""
-    totals = examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()
-    n = {r["toxic"]: r["n"] for r in totals}
-    if len(n) < 2:
-        return []
-    each = examples.select("text", "toxic").mapInArrow(_example_terms, "term binary, toxic bigint, clean bigint")
-    met = stage(each.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")), "example-terms")
-    pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).toArrow()
-    a, b, terms = (pairs.column(c).to_numpy() for c in ("a", "b", "n"))
-    p = exact_tests(a, b, n[1], n[0])
-    # The strongest pairs until their terms are enough.
-    kept = np.flatnonzero(p <= level)
-    kept = kept[np.lexsort((b[kept], a[kept], p[kept]))]
-    kept = kept[np.cumsum(terms[kept]) - terms[kept] < most_terms]
-    if not len(kept):
-        return []
-    strong = examples.sparkSession.createDataFrame([(int(a[i]), int(b[i]), rank) for rank, i in enumerate(kept)], "a bigint, b bigint, rank int")
-    ranked = met.join(F.broadcast(strong), ["a", "b"]).orderBy("rank", "term").limit(most_terms)
-    return [bytes(r["term"]) for r in ranked.select("term").collect()]
+def index_of(rows: DataFrame, examples: DataFrame) -> tuple[dict[str, int], BlockMaxIndex]:
+    """The numbers of the terms of ``examples`` (doc_id, toxic, text), and the index with document frequencies over
+    ``rows`` (text)."""
+    spark = rows.sparkSession
+    totals = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(totals) < 2:
+        entries = [((), (), n, n * toxic, None) for toxic, n in totals.items()]
+        return {}, BlockMaxIndex(np.zeros(0), entries)
+    each = examples.select("text", "toxic").mapInArrow(_example_terms, "term string, toxic bigint, clean bigint")
+    summed = each.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    # How one example's words begin, and no other's, says no more than the words.
+    met = summed.where(~F.col("term").endswith("*") | (F.col("toxic") + F.col("clean") > 1)).toArrow().sort_by("term")
+    numbers = {t: n for n, t in enumerate(met.column("term").to_pylist())}
+    says = relevance(met.column("toxic").to_numpy(), met.column("clean").to_numpy(), totals[1], totals[0])
+    sent = spark.sparkContext.broadcast(numbers)
+    counted = rows.select("text").mapInArrow(lambda batches: _document_counts(sent, batches), "part int, counts binary")
+    # A row per task and part meets its like in one stream.
+    parts = counted.repartition("part").sortWithinPartitions("part").mapInArrow(_summed, "part int, counts binary").collect()
+    frequency, n_docs = np.zeros(len(numbers), dtype=np.int64), 0
+    for part, packed in parts:
+        counts = np.frombuffer(packed, dtype="<i8")
+        if part < 0:
+            n_docs = int(counts[0])
+        else:
+            frequency[part * COUNTS : part * COUNTS + len(counts)] = counts
+    weights = says * (np.log((1 + n_docs) / (1 + frequency)) + 1.0)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    seen = examples.select("doc_id", "toxic", "text").mapInArrow(
+        lambda batches: _vectors(sent, batches), f"doc_id {kind}, toxic int, terms array<int>, counts array<int>"
+    )
+    grouped = seen.groupBy("terms", "counts").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
+    found = [(tuple(r["terms"]), tuple(r["counts"]), r["n"], r["toxic"], r["doc_id"]) for r in grouped.toLocalIterator()]
+    return numbers, BlockMaxIndex(weights, found)
 
 
 def toxicity(
@@ -258,8 +346,6 @@ def toxicity(
     label: str = "toxic",
     label_id: str = "doc_id",
     most_examples: int = MOST_EXAMPLES,
-    most_terms: int = MOST_TERMS,
-    level: float = LEVEL,
     nearest: int = NEAREST,
     threshold: float = THRESHOLD,
     learn_from: DataFrame | None = None,
@@ -267,12 +353,13 @@ def toxicity(
     """One row per row of ``df``: doc_id, held_out, score, predicted, evidence, cosines, mark.
 
     Labels are used of at most ``most_examples`` documents whose crc32(id) mod 4 is not 2; their texts come
-    from ``learn_from`` (default: ``df``). A text without terms (null and empty ones too) has no evidence
-    against it: whatever the labels' shares, its score is 0.1 / (examples + 1), near 0 where there are many
-    examples and 0.1 without any. Without labels, or with labels of one kind only, no text has terms. Rows are scored alone, so repeated rows score alike. ``evidence``
-    has the ids of the nearest examples, one per distinct vector, with their ``cosines``. ``mark``
-    (xxhash64 of the text) tells rows of one id apart. Jobs run when this is called; what comes to the
-    driver is bounded by ``most_examples`` and ``most_terms``.
+    from ``learn_from`` (default: ``df``), and of several texts of one id the first by hash. A text that shares no term with
+    the examples, or only such that occur in toxic and clean examples at exactly the common rate, has no evidence
+    against it, null and empty ones too: whatever the labels' shares, its score is 0.1 / (examples + 1). Without labels, or with labels
+    of one kind only, that holds for all texts. An empty table gives no rows. Rows are scored alone, so repeated rows score alike. ``evidence``
+    has the ids of the nearest examples, one per distinct vector, with their ``cosines``; ties go to the entry first in order
+    of its terms. ``mark`` (xxhash64 of the text) tells rows of one id apart. Jobs run when this is called; to the driver come
+    the terms and vectors of the examples.
     """
     spark = df.sparkSession
     rows = renamed(df, doc_id=id, text=text)
@@ -281,32 +368,12 @@ def toxicity(
     id_type = pa.string() if kind == "string" else pa.int64() if kind == "bigint" else pa.int32()
     chosen = stage(examples_of(labels, label_id, label, most_examples), "examples")
     # At most ``most_examples`` rows of an id and a label.
-    known = stage(texts.where(F.col("doc_id").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "example-texts")
-    terms = {term: number for number, term in enumerate(chosen_terms(known, level, most_terms))}
-    shape = f"doc_id {kind}, mark bigint, terms array<int>, counts array<int>"
-    table = spark.sparkContext.broadcast(terms)
-
-    def vectors(frame: DataFrame) -> DataFrame:
-        marked = frame.select("doc_id", F.xxhash64("text").alias("mark"), "text")
-        return marked.mapInArrow(lambda batches: _term_counts(table.value, batches), shape)
-
-    all_vectors = stage(vectors(rows), "vectors")
-    # Each task adds up its own documents: a row per task and term, of at most ``most_terms``.
-    counted = all_vectors.select("terms").mapInArrow(_document_counts, "term int, n bigint")
-    met = counted.groupBy("term").agg(F.sum("n").alias("n")).collect()
-    n_docs = all_vectors.count()
-    idf = np.full(len(terms), math.log(1 + n_docs) + 1.0)
-    for r in met:
-        idf[r["term"]] = math.log((1 + n_docs) / (1 + r["n"])) + 1.0
-    toxic = known.select("doc_id", F.xxhash64("text").alias("mark"), "toxic").distinct()
-    seen = vectors(known).join(toxic, ["doc_id", "mark"])
-    entries = seen.groupBy("terms", "counts").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")
-    )
-    found = [(tuple(r["terms"]), tuple(r["counts"]), r["n"], r["toxic"], r["doc_id"]) for r in entries.collect()]
-    index = spark.sparkContext.broadcast(BlockMaxIndex(idf, found))
-    scored = all_vectors.mapInArrow(
-        lambda batches: _scores(index, nearest, id_type, batches),
+    known = texts.where(F.col("doc_id").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    known = known.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    numbers, index = index_of(rows, stage(known, "example-texts"))
+    terms, found = spark.sparkContext.broadcast(numbers), spark.sparkContext.broadcast(index)
+    scored = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(
+        lambda batches: _scores(terms, found, nearest, id_type, batches),
         f"doc_id {kind}, mark bigint, score double, evidence array<{kind}>, cosines array<double>",
     )
     held_out = F.col("doc_id").isNotNull() & (crc32_remainder(F.col("doc_id"), FOLDS) == HELD_OUT)

@@ -57,7 +57,7 @@ def checked(pieces, texts, room):
 
 def awkward_texts():
     rng = random.Random(8)
-    words = ["alpha", "beta's", "İstanbul", "x1y22", " ", "naïve!", "<|endoftext|>", "ΣΑΣ", "\x1c", "é"]
+    words = ["it,was.\"so\"", "AİB,İ.", "e\u0301.,x", "a<\u0338b!", "<|startoftext|>x", "alpha", "beta's", "İstanbul", "x1y22", " ", "naïve!", "<|endoftext|>", "ΣΑΣ", "\x1c", "é"]
     texts = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(60)))) for i in range(120)]
     texts += [(500, None), (501, ""), (502, " \t\n"), (None, "alpha beta"), (None, None), (503, "long words " * 30_000)]
     texts += [texts[3], texts[3], (3, "another text"), (504, "y" * 30_000), (505, " " * 5_000), (506, "\n" * 1_500_000 + "end")]

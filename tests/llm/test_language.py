@@ -167,22 +167,76 @@ def test_index_is_exact():
     for i in range(700):
         terms = tuple(sorted(rng.choice(40, rng.integers(1, 6), replace=False).tolist()))
         entries.append((terms, tuple(rng.integers(1, 4, len(terms)).tolist()), 1, int(rng.integers(0, 2)), i))
-    index = toxicity.BlockMaxIndex(idf, entries)
-
-    def vector(terms, counts):
+    matrix = np.zeros((len(entries), 40))
+    for e in entries:
         v = np.zeros(40)
-        v[list(terms)] = (1 + np.log(counts)) * idf[list(terms)]
-        return v / np.linalg.norm(v)
-
-    matrix = {e[4]: vector(e[0], e[1]) for e in entries}
-    for _ in range(60):
-        terms = tuple(sorted(rng.choice(40, 4, replace=False).tolist()))
-        counts = tuple(rng.integers(1, 4, 4).tolist())
-        numbers, cosines = index.nearest(terms, counts, 10)
-        plain = sorted((float(m @ vector(terms, counts)) for m in matrix.values()), reverse=True)[:10]
-        assert cosines == pytest.approx([c for c in plain if c > 0], abs=1e-9)
-        for i, c in zip(numbers, cosines):
-            assert matrix[index.ids[i]] @ vector(terms, counts) == pytest.approx(c)
+        v[list(e[0])] = (1 + np.log(e[1])) * idf[list(e[0])]
+        matrix[e[4]] = v / np.linalg.norm(v)
+    queries = [(tuple(sorted(rng.choice(40, 4, replace=False).tolist())), rng.integers(1, 4, 4)) for _ in range(60)]
+    place, terms, counts = np.repeat(np.arange(60), 4), np.concatenate([q[0] for q in queries]), np.concatenate([q[1] for q in queries])
+    for frequent in (0, 3, 40):
+        index = toxicity.BlockMaxIndex(idf, entries, frequent)
+        for (own, times), (numbers, cosines) in zip(queries, index.nearest(place, terms, counts, 60, 10)):
+            query = np.zeros(40)
+            query[list(own)] = (1 + np.log(times)) * idf[list(own)]
+            exact = matrix @ query / np.linalg.norm(query)
+            plain = np.sort(exact)[::-1][:10]
+            assert cosines == pytest.approx(plain[plain > 0], abs=1e-9)
+            assert exact[[index.ids[i] for i in numbers]] == pytest.approx(cosines, abs=1e-8)
+
+
+def plain_scores(docs, labels):
+    """The whole score with a dictionary per text and every example compared."""
+    examples = sorted((i for i in labels if split_of(i, 4) != 2 and i in docs))
+    held = [Counter(w for x in toxicity.words_of(docs[i] or "") for w in toxicity.terms_of(x)) for i in examples]
+    toxic = [labels[i] for i in examples]
+    seen, bad = Counter(), Counter()
+    for k, y in zip(held, toxic):
+        seen.update(k.keys())
+        bad.update(k.keys() if y else ())
+    used = {t for t, n in seen.items() if n > 1 or not t.endswith("*")}
+    counted = {i: Counter(w for x in toxicity.words_of(t or "") for w in toxicity.terms_of(x)) for i, t in docs.items()}
+    frequency = Counter(t for k in counted.values() for t in k if t in used)
+    share = sum(toxic) / len(toxic)
+    logit = lambda p: np.log(p / (1 - p))
+    weight = {}
+    for t in used:
+        away = logit((bad[t] + 20 * share) / (seen[t] + 20)) - logit(share)
+        weight[t] = (away**2 if abs(away) > 1e-9 else 0.0) * (np.log((1 + len(docs)) / (1 + frequency[t])) + 1)
+
+    def vector(k):
+        v = {t: (1 + np.log(n)) * weight[t] for t, n in k.items() if t in used and weight[t] > 0}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    entries = {}
+    for k, y in zip(held, toxic):
+        v = vector(k)
+        if v:
+            e = entries.setdefault(tuple(sorted((t, n) for t, n in k.items() if t in used)), [v, 0, 0])
+            e[1], e[2] = e[1] + 1, e[2] + y
+    prior, scores = min(0.1, (sum(toxic) + 0.1) / (len(toxic) + 1)), {}
+    for i, k in counted.items():
+        v = vector(k)
+        near = sorted(((sum(x * e[0].get(t, 0) for t, x in v.items()), e[1], e[2]) for e in entries.values()), reverse=True)
+        near = [(min(c, 1.0), n, b) for c, n, b in near if c > 1e-9]
+        edge = near[9][0] - near[10][0] if len(near) > 10 else 1
+        votes = [(n * c * c / (1.1 - c), b / n) for c, n, b in near[:10]]
+        score = (sum(v * s for v, s in votes) + prior) / (sum(v for v, _ in votes) + 1) if votes else 0.1 / (len(toxic) + 1)
+        scores[i] = (score, edge)
+    return scores
+
+
+def test_whole_score_equals_a_plain_one(spark, sf_dir, documents):
+    docs = {r["doc_id"]: r["text"] for r in documents.collect()} | {-1: None, -2: "", -3: "Idiot idiot CLOWN x"}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(5)
+    found = {r["doc_id"]: r["score"] for r in toxicity.toxicity(frame, spark.read.parquet(f"{sf_dir}/labels.parquet")).collect()}
+    expected = plain_scores(docs, labels)
+    # Where the tenth neighbour is a matter of rounding, either will do.
+    sure = [i for i, (_, edge) in expected.items() if edge > 1e-8]
+    assert len(sure) > 0.9 * len(docs)
+    assert [found[i] for i in sure] == pytest.approx([expected[i][0] for i in sure], abs=1e-6)
 
 
 def test_held_out_labels_are_predicted(spark, sf_dir):
