@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 END_ID = 50256
 ROW_TOKENS = 2048
 GROUP_TOKENS = 1 << 22
+#: Runs of white space, as the pattern has it, whose look-ahead could exhaust the matcher's stack.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 ROWS_PER_BATCH = 512
 
 
@@ -87,6 +90,18 @@ def encoder(vocabulary: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(os.path.basename(vocabulary), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(bpe: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a whole text. A long run of white space is given to the merges as the one piece that the pattern
+    makes of it: all of it at the end of a text, else all but its last letter, with which what follows begins."""
+    parts, begin = [], 0
+    for run in LONG_BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        parts += [bpe.encode_ordinary(text[begin : run.start()]), bpe._encode_single_piece(text[run.start() : end])]
+        begin = end
+    parts.append(bpe.encode_ordinary(text[begin:]))
+    return np.concatenate([np.array(p, dtype=np.uint32) for p in parts])
+
+
 def _packed(vocabulary: str, end_id: int, row_tokens: int, group_tokens: int, id_type: pa.DataType, batches: Iterator[pa.RecordBatch]):
     bpe = encoder(vocabulary)
     width = np.dtype("<u2") if max(bpe.max_token_value, end_id) < 1 << 16 else np.dtype("<u4")
@@ -127,7 +142,7 @@ def _packed(vocabulary: str, end_id: int, row_tokens: int, group_tokens: int, id
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "").to_pylist()):
-            ids = np.append(np.array(bpe.encode_ordinary(text), dtype=np.uint32), np.uint32(end_id))
+            ids = np.append(encode(bpe, text), np.uint32(end_id))
             for offset in range(0, len(ids), row_tokens):
                 pieces.append((doc_id, offset, ids[offset : offset + row_tokens]))
                 held += len(pieces[-1][2])
