@@ -27,9 +27,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def draw(id: Column, seed: str = SEED) -> Column:
-    """An even number of 52 bits from the md5 of seed and id. Rows with one id (a missing one too) share it."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id.cast("string"), F.lit("null")))), 1, 13)
+def draw(id: Column, text: Column, seed: str = SEED) -> Column:
+    """An even number of 52 bits from the md5 of seed and id, or of seed and text where there is no id. Rows with one id
+    share it, and so do rows without one that have the same text."""
+    own = F.coalesce(id.cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")))))
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), own)), 1, 13)
     return F.conv(digits, 16, 10).cast("bigint")
 
 
@@ -66,51 +68,56 @@ def source_bounds(sizes: DataFrame, **how) -> DataFrame:
     drawn = sizes.groupBy("source", "draw").agg(F.sum("size").alias("size"))
     summed = running_totals(drawn, "draw", ["size"], ["source"]).select(F.col("source").alias("named"), "draw", "size", "size_before")
     wanted = F.col("target") - F.floor("rate") * F.col("source_size")
-    inside = F.when(F.col("size_before") + F.col("size") / 2 <= wanted, F.col("draw"))
+    # Rows without words bring a source no nearer to its target: they set no bound, and none holds for them.
+    inside = F.when((F.col("size") > 0) & (F.col("size_before") + F.col("size") / 2 <= wanted), F.col("draw"))
     joined = summed.join(targets, F.col("named").eqNullSafe(F.col("source")))
     bounds = joined.groupBy("source", "source_size", "target", "rate").agg(F.max(inside).alias("bound"))
     return stage(bounds, "bounds")
 
 
-def copies(rate: Column, drawn: Column, bound: Column) -> Column:
-    return F.floor(rate) + F.coalesce(drawn <= bound, F.lit(False)).cast("bigint")
+def copies(rate: Column, drawn: Column, bound: Column, size: Column) -> Column:
+    """floor(rate), and one more for a row with words whose hash is within the bound."""
+    return F.floor(rate) + F.coalesce((drawn <= bound) & (size > 0), F.lit(False)).cast("bigint")
 
 
 def mix_report(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """One row per row of ``df``: doc_id, size, source_size, target, taken, copies.
 
-    A null text has size 0; null sources are one source. Runs jobs: sizes and targets are written first.
+    A null text has size 0; null sources are one source. A row without words has floor(rate) copies, one in a source
+    without any words; where the rate is a whole number all rows have that many, so no row has more than the rate's ceiling.
+    Rows of one id share their hash and are decided alike, and so are rows without an id that have one text; repeated rows too.
+    An empty table gives no rows. Runs jobs: sizes and targets are written first.
     """
     sized = df.select(
         df[f"`{id}`"].alias("doc_id"),
         df[f"`{source}`"].alias("source"),
         n_words(df[f"`{text}`"]).alias("size"),
-        draw(df[f"`{id}`"]).alias("draw"),
+        draw(df[f"`{id}`"], df[f"`{text}`"]).alias("draw"),
     )
     sized = stage(sized, "sizes")
     targets = source_bounds(sized.drop("doc_id"), **how).withColumnRenamed("source", "named")
-    n = copies(F.col("rate"), F.col("draw"), F.col("bound"))
+    n = copies(F.col("rate"), F.col("draw"), F.col("bound"), F.col("size"))
     return sized.join(targets, F.col("source").eqNullSafe(F.col("named"))).select(
         "doc_id", "size", "source_size", "target", (n * F.col("size")).alias("taken"), n.alias("copies")
     )
 
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """The mix itself: the rows of ``df``, each as often as it is taken, with the same columns."""
-    drawn = draw(df[f"`{id}`"])
+    """The mix itself: the rows of ``df``, each as often as ``mix_report`` has copies of it, with the same columns."""
+    drawn = draw(df[f"`{id}`"], df[f"`{text}`"])
     sized = stage(df.select(df[f"`{source}`"].alias("source"), n_words(df[f"`{text}`"]).alias("size"), drawn.alias("draw")), "sizes")
     named, rate, bound, copy = (free_name(df.columns, x) for x in ("named", "rate", "bound", "copy"))
     bounds = source_bounds(sized, **how)
     targets = bounds.select(F.col("source").alias(named), F.col("rate").alias(rate), F.col("bound").alias(bound))
     taken = df.join(targets, df[f"`{source}`"].eqNullSafe(F.col(named)))
-    n = copies(F.col(rate), draw(F.col(f"`{id}`")), F.col(bound))
+    n = copies(F.col(rate), draw(F.col(f"`{id}`"), F.col(f"`{text}`")), F.col(bound), n_words(F.col(f"`{text}`")))
     each = taken.withColumn(copy, F.explode(F.array_repeat(F.lit(True), n.cast("int"))))
     return each.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 SQL = f"""
 with sized as (
-  select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size from documents
+  select doc_id, text, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size from documents
 ), per_source as (
   select source, cast(sum(size) as bigint) as source_size from sized group by source
 ), ranked as (
@@ -131,15 +138,15 @@ with sized as (
 ), rated as (
   select *, case when source_size > 0 then target / source_size else 1.0 end as rate from targets
 ), draws as (
-  select doc_id, size, source, cast(('0x' || md5('{SEED}:' || coalesce(cast(doc_id as varchar), 'null'))[1:13]) as bigint) as draw from sized
+  select doc_id, size, source, cast(('0x' || md5('{SEED}:' || coalesce(cast(doc_id as varchar), 'null:' || md5(coalesce(text, ''))))[1:13]) as bigint) as draw from sized
 ), summed as (
   select source, draw, size, coalesce(sum(size) over (partition by source order by draw rows between unbounded preceding and 1 preceding), 0) as before
   from (select source, draw, sum(size) as size from draws group by source, draw)
 ), bounds as (
-  select r.source, source_size, target, rate, max(draw) filter (before + size / 2 <= target - floor(rate) * source_size) as bound
+  select r.source, source_size, target, rate, max(draw) filter (size > 0 and before + size / 2 <= target - floor(rate) * source_size) as bound
   from rated r join summed s on r.source is not distinct from s.source group by r.source, source_size, target, rate
 )
 select doc_id, size, source_size, target, copies * size as taken, copies from (
-  select *, cast(floor(rate) as bigint) + case when coalesce(draw <= bound, false) then 1 else 0 end as copies
+  select *, cast(floor(rate) as bigint) + case when coalesce(draw <= bound and size > 0, false) then 1 else 0 end as copies
   from draws d join bounds b on d.source is not distinct from b.source)
 """
