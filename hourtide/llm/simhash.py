@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourtide.llm.common import LOWER_BYTES, renamed, stage
+from hourtide.llm.common import LOWER_BYTES, free_name, renamed, stage
 from hourtide.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -58,9 +58,9 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def _fingerprints(shingle_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = pc.fill_null(batch.column(1), "").cast(pa.binary())
+        texts = pc.fill_null(batch.column(2), "").cast(pa.binary())
         found = np.array([fingerprint(t.as_py(), shingle_words) for t in texts], dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], ["doc_id", "mark", "fp"])
 
 
 def grid_cells(fp: Column) -> Column:
@@ -147,6 +147,20 @@ def close_links(nodes: DataFrame, most_bits: int = MOST_BITS, chunk: int = CHUNK
     return dealt.mapInArrow(lambda batches: _links(most_bits, batches), "a bigint, b bigint")
 
 
+def rooted_fingerprints(df: DataFrame, id: str, text: str, shingle_words: int, most_bits: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, mark, fp) of all rows, and (fp, doc_id, first, root) of the distinct fingerprints: the smallest id, the
+    first (missing, id, mark) and the component."""
+    rows = renamed(df, doc_id=id, text=text).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    shape = f"doc_id {kind}, mark bigint, fp bigint"
+    marked = stage(rows.mapInArrow(lambda batches: _fingerprints(shingle_words, batches), shape), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "mark"))
+    nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), first.alias("first")), "nodes")
+    roots = components(close_links(nodes.select("fp"), most_bits, chunk))
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "doc_id", "first", F.coalesce("root", "fp").alias("root"))
+    return marked, stage(rooted, "rooted")
+
+
 def near_groups(
     df: DataFrame, id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS, chunk: int = CHUNK
 ) -> DataFrame:
@@ -158,13 +172,7 @@ def near_groups(
     none. Repeated rows are repeated in the result. An empty table gives no rows. Jobs run when this is
     called: fingerprints, links and rounds of contraction are written.
     """
-    rows = renamed(df, doc_id=id, text=text)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    marked = stage(rows.mapInArrow(lambda batches: _fingerprints(shingle_words, batches), f"doc_id {kind}, fp bigint"), "fingerprints")
-    nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    roots = components(close_links(nodes.select("fp"), most_bits, chunk))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
-    rooted = stage(rooted, "rooted")
+    marked, rooted = rooted_fingerprints(df, id, text, shingle_words, most_bits, chunk)
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -172,11 +180,16 @@ def near_groups(
     )
 
 
-def near_dedup(df: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of their component, one row per id, all columns kept.
-    Rows without an id cannot be named and stay."""
-    groups = near_groups(df, id, text, **how)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_")).distinct()
-    named = df.where(df[f"`{id}`"].isNotNull())
-    one = named.join(kept, named[f"`{id}`"] == kept["kept_"], "left_semi").dropDuplicates([id])
-    return one.unionByName(df.where(df[f"`{id}`"].isNull()))
+def near_dedup(
+    df: DataFrame, id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS, chunk: int = CHUNK
+) -> DataFrame:
+    """One row of ``df`` for each component, all columns kept: that with the smallest id, of several texts under it the
+    first by xxhash64, and where no row has an id the first by that alone. Of rows alike in id and text any one
+    stays. So copies without ids go, and a text of another component stays though its id is another's too. An empty
+    table gives no rows."""
+    _, rooted = rooted_fingerprints(df, id, text, shingle_words, most_bits, chunk)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("kept_id"), F.col("first.mark").alias("kept_mark"))
+    mark = free_name(df.columns, "mark")
+    marked = df.withColumn(mark, F.xxhash64(df[f"`{text}`"]))
+    same = marked[f"`{id}`"].eqNullSafe(kept["kept_id"]) & (marked[mark] == kept["kept_mark"])
+    return marked.join(kept, same, "left_semi").dropDuplicates([id, mark]).drop(mark)

@@ -98,3 +98,11 @@ def test_fingerprint_counts_long_texts_in_parts(monkeypatch):
     monkeypatch.setattr(simhash, "COUNTED", 100)
     assert simhash.fingerprint(text.encode()) == whole == plain_fingerprint(text)
     assert np.uint64(whole) == whole
+
+
+def test_one_row_of_each_component(spark):
+    """Copies without ids, and two texts of different components under one id."""
+    far = ["the quick brown fox jumps over a lazy dog " * 3, "completely other words stand in this text here " * 3, "third kind of sentence with no shared shingle " * 3]
+    rows = [(None, far[0], "x"), (None, far[0], "y"), (None, far[0], "x"), (7, far[1], "a"), (7, far[2], "b"), (7, far[2], "b"), (8, far[1], "c")]
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string, mark string").repartition(3)).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept) == sorted(str(x) for x in [(None, far[0]), (7, far[1]), (7, far[2])])

@@ -378,6 +378,85 @@ def test_mix_comes_near_targets_and_copies_whole_rows(spark):
     assert mixed == {i: n for i, n in copies.items() if n} and max(copies.values()) <= 3
 
 
+# --- awkward texts and ids ----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("letter", [" ", "\n", "　", "x", "1", ".", "é"])
+def test_long_runs_are_encoded_and_come_back(letter):
+    bpe = packing.encoder(packing.VOCABULARY)
+    for text in (letter * 2_000_000, f"a{letter * 1_500_000}b", f"a {letter * 20_000}  b\n{letter * 12_000}"):
+        assert bpe.decode(packing.encode(bpe, text).tolist()) == text
+
+
+def test_long_blanks_as_in_the_pattern():
+    """Around the length from which runs are taken out, ids are those of the whole text."""
+    bpe = packing.encoder(packing.VOCABULARY)
+    rng = random.Random(7)
+    for _ in range(30):
+        runs = ["".join(rng.choice(" \n\t \x1c") for _ in range(rng.choice([9_990, 10_000, 12_000]))) for _ in range(2)]
+        for text in (f"a{runs[0]}b's{runs[1]}", f"{runs[0]}é {runs[1]}!", " " * rng.choice([9_999, 10_000, 10_001]) + rng.choice(["", "x", "\x1c", "7"])):
+            assert packing.encode(bpe, text).tolist() == bpe.encode_ordinary(text)
+
+
+def test_packing_of_awkward_rows(awkward, spark):
+    bpe = packing.encoder(packing.VOCABULARY)
+    rows = [(r["doc_id"], r["text"]) for r in awkward.collect()] + [(99, " " * 1_200_000), (98, "\n" * 1_000_001 + "end")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = Counter()
+    for r in packing.pack_tokens(frame.repartition(3), row_tokens=64).collect():
+        ids = np.frombuffer(r["ids"], dtype="<u2")
+        for doc_id, begin, end in zip(r["doc_ids"], r["cu_seqlens"], r["cu_seqlens"][1:]):
+            found[doc_id, tuple(ids[begin:end].tolist())] += 1
+    wanted = Counter()
+    for doc_id, text in rows:
+        ids = packing.encode(bpe, text or "").tolist() + [packing.END_ID]
+        wanted.update((doc_id, tuple(ids[o : o + 64])) for o in range(0, len(ids), 64))
+    assert found == wanted
+    assert packing.pack_tokens(awkward.where("false")).count() == 0
+
+
+def plain_mix(rows):
+    """Copies of (doc_id, source, text) rows, from the rule as the docstrings have it."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    own = lambda i, t: str(i) if i is not None else "null:" + hashlib.md5((t or "").encode()).hexdigest()
+    hashed = [int(hashlib.md5(f"mix-1:{own(i, t)}".encode()).hexdigest()[:13], 16) for i, _, t in rows]
+    sizes = Counter()
+    for _, s, t in rows:
+        sizes[s] += size(t)
+    targets, out = plain_targets(sizes), []
+    for (i, s, t), h in zip(rows, hashed):
+        rate = targets[s] / sizes[s] if sizes[s] else 1.0
+        floor = int(rate + 1e-12)
+        wanted, at, bound = targets[s] - floor * sizes[s], 0, None
+        for d in sorted({g for (_, x, _), g in zip(rows, hashed) if x == s}):
+            n = sum(size(u) for (_, x, u), g in zip(rows, hashed) if x == s and g == d)
+            if n and at + n / 2 <= wanted + 1e-9:
+                bound = d
+            at += n
+        out.append(floor + (bound is not None and h <= bound and size(t) > 0))
+    return out
+
+
+def test_mix_of_awkward_sources(spark):
+    """Sources without words, one that is taken three times whole, rows without ids, and repeated rows."""
+    rng = random.Random(11)
+    rows = [(None if rng.random() < 0.2 else i, rng.choice(["a", "b", None]), rng.choice(["", None, "x " * rng.randrange(1, 40)])) for i in range(300)]
+    rows += [(1000 + i, "empty", rng.choice(["", " \t", None])) for i in range(20)] + [(2000 + i, "small", rng.choice(["", "one word here"])) for i in range(12)]
+    rows += [rows[0], rows[0], rows[5]]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    key = lambda r: str((r[0], r[1], r[2]))
+    report = mixing.mix_report(frame).select("doc_id", "size", "copies").collect()
+    expected = plain_mix(rows)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert sorted(str((r["doc_id"], r["size"], r["copies"])) for r in report) == sorted(str((r[0], size(r[2]), n)) for r, n in zip(rows, expected))
+    mixed = Counter(key(r) for r in mixing.mix(frame).collect())
+    wanted = Counter()
+    for r, n in zip(rows, expected):
+        wanted[key(r)] += n
+    assert mixed == +wanted
+    assert all(n == 1 for r, n in zip(rows, expected) if r[1] == "empty") and {n for r, n in zip(rows, expected) if r[1] == "small"} == {3}
+
+
 # --- the pipeline -----------------------------------------------------------------------------------
 
 
