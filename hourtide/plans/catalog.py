@@ -21,8 +21,10 @@ from hourtide.operators import (
     drift,
     features,
     histograms,
+    lloyd,
     metrics,
     models,
+    newton,
     profile,
     recommend,
     registry,
@@ -490,6 +492,14 @@ def logistic_high_risk(spark, sf_dir):
     return jobs.evaluated(spark, sf_dir, models.LOGISTIC)
 
 
+@query
+def logistic_newton(spark, sf_dir):
+    """The weighted, penalised logistic optimum on two inputs, and what is left of its gradient."""
+    rows = splits.with_class_weights(jobs.training_rows(spark, sf_dir))
+    found = newton.logistic_newton(rows, ["hour_cos", "is_weekend"], "high_risk", "weight")
+    return rounded(found.select("term", "coefficient", F.abs("gradient").alias("gradient")), 4)
+
+
 @query
 def forest_high_risk(spark, sf_dir):
     return jobs.evaluated(spark, sf_dir, models.FOREST_CLASSIFIER)
@@ -571,6 +581,12 @@ def kmeans_profiles(spark, sf_dir):
     return clusters.cluster_profiles(jobs.featured_table(spark, sf_dir))
 
 
+@query
+def kmeans_seeded(spark, sf_dir):
+    """Ten restarts of four clusters, the best by cost."""
+    return rounded(lloyd.seeded_kmeans(jobs.featured_table(spark, sf_dir), fv.CLUSTER_FEATURES, [4], restarts=10, most_steps=30))
+
+
 @query
 def centre_profiles(spark, sf_dir):
     """Assignment to given centres, with the profiles and names of the clusters."""

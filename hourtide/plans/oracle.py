@@ -129,13 +129,17 @@ STEPS: list[tuple[str, str]] = [
 ]
 
 
+#: Steps that a query reads several times and that are too long a chain to be computed each time.
+READ_OFTEN = ("cells", "points")
+
+
 def _with(upto: str, sql: str, *more: tuple[str, str]) -> str:
     taken = []
     for name, text in STEPS:
         taken.append(f"{name} AS ({text})")
         if name == upto:
             break
-    taken += [f"{name} AS ({text})" for name, text in more]
+    taken += [f"{name} AS {'MATERIALIZED ' if name in READ_OFTEN else ''}({text})" for name, text in more]
     return "WITH " + ",\n".join(taken) + "\n" + sql
 
 
@@ -716,13 +720,13 @@ add(
     more=(_volume_test,),
 )
 _rules = (
-    "SELECT concat_ws(',', nullif(c.d, ''), nullif(c.t, ''), nullif(c.w, '')) AS antecedent, c.g AS consequent, "
-    "CAST(c.n AS DOUBLE) / s.total AS support, CAST(c.n AS DOUBLE) / a.n AS confidence, "
-    "(CAST(c.n AS DOUBLE) / a.n) / (CAST(g.n AS DOUBLE) / s.total) AS lift FROM cells c "
+    "SELECT antecedent, consequent, CAST(n AS DOUBLE) / total AS support, CAST(n AS DOUBLE) / n_left AS confidence, "
+    "(CAST(n AS DOUBLE) / n_left) / (CAST(n_right AS DOUBLE) / total) AS lift FROM ("
+    "SELECT concat_ws(',', nullif(c.d, ''), nullif(c.t, ''), nullif(c.w, '')) AS antecedent, c.g AS consequent, c.n, a.n AS n_left, g.n AS n_right, "
+    "(SELECT max(n) FROM cells) AS total FROM cells c "
     "JOIN cells a ON a.g = '' AND a.t = c.t AND a.d = c.d AND a.w = c.w "
-    "JOIN cells g ON g.g = c.g AND g.t = '' AND g.d = '' AND g.w = '' CROSS JOIN (SELECT n AS total FROM cells WHERE g = '' AND t = '' AND d = '' AND w = '') s "
-    "WHERE c.g <> '' AND (c.t <> '' OR c.d <> '' OR c.w <> '') AND c.n >= 0.01 * s.total "
-    "AND (CAST(c.n AS DOUBLE) / a.n) / (CAST(g.n AS DOUBLE) / s.total) >= 1"
+    "JOIN cells g ON g.g = c.g AND g.t = '' AND g.d = '' AND g.w = '' WHERE c.g <> '' AND (c.t <> '' OR c.d <> '' OR c.w <> '')) "
+    "WHERE n >= 0.01 * total AND (CAST(n AS DOUBLE) / n_left) / (CAST(n_right AS DOUBLE) / total) >= 1"
 )
 _cells = (
     "cells",
@@ -777,6 +781,71 @@ add(
     f"ELSE 'very_high' END AS congestion_level FROM (SELECT o_orderkey AS k FROM orders) JOIN (SELECT hour, is_weekend, avg(traffic_volume) AS m "
     f"FROM labelled WHERE split = 'train' GROUP BY 1, 2) ON hour = k % 24 AND is_weekend = CAST(k % 7 >= 5 AS INT), ({_quartiles}) WHERE NOT ({_bad_request})",
 )
+_weighed = (
+    "points",
+    "SELECT hour_cos AS x1, CAST(is_weekend AS DOUBLE) AS x2, CAST(high_risk AS DOUBLE) AS y, count(*) * any_value(w) AS w FROM (SELECT *, "
+    "count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY high_risk)) AS w FROM labelled WHERE split = 'train') GROUP BY ALL",
+)
+_newton = (
+    "newton(i, b0, b1, b2, g0, g1, g2)",
+    "SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL SELECT i + 1, "
+    "b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det, "
+    "b1 - (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det, "
+    "b2 - (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det, g0, g1, g2 FROM ("
+    "SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det FROM ("
+    "SELECT i, b0, b1, b2, sum(w * (p - y)) AS g0, sum(w * (p - y) * x1) + b1 AS g1, sum(w * (p - y) * x2) + b2 AS g2, sum(w * p * (1 - p)) AS h00, "
+    "sum(w * p * (1 - p) * x1) AS h01, sum(w * p * (1 - p) * x2) AS h02, sum(w * p * (1 - p) * x1 * x1) + 1 AS h11, "
+    "sum(w * p * (1 - p) * x1 * x2) AS h12, sum(w * p * (1 - p) * x2 * x2) + 1 AS h22 FROM ("
+    "SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM newton, points WHERE i < 15) GROUP BY i, b0, b1, b2))",
+)
+add(
+    "logistic_newton",
+    "labelled",
+    " UNION ALL ".join(f"SELECT '{t}' AS term, b{k} AS coefficient, abs(g{k}) AS gradient FROM newton WHERE i = 15" for k, t in enumerate(("intercept", "hour_cos", "is_weekend"))),
+    "coefficient gradient",
+    4,
+    more=(_weighed, _newton),
+)
+_scaled_points = (
+    "points",
+    "SELECT x0, x1, x2, x3, count(*) AS n FROM (SELECT "
+    + ", ".join(f"round((CAST({c} AS DOUBLE) - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()), 6) AS x{i}" for i, c in enumerate(fv.CLUSTER_FEATURES))
+    + " FROM featured WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in fv.CLUSTER_FEATURES)
+    + ") GROUP BY ALL",
+)
+_squares = "list_transform(centres, lambda c: (x0 - c[1]) * (x0 - c[1]) + (x1 - c[2]) * (x1 - c[2]) + (x2 - c[3]) * (x2 - c[3]) + (x3 - c[4]) * (x3 - c[4]))"
+_point_key = " || ',' || ".join(f"CAST(CAST(round(x{i} * 1000000) AS BIGINT) AS VARCHAR)" for i in range(4))
+_seeds = (
+    "seeds(step, restart, centres)",
+    "SELECT 0, CAST(range AS INT), CAST([] AS DOUBLE[][]) FROM range(10) UNION ALL SELECT step + 1, restart, list_append(any_value(centres), "
+    "arg_min([x0, x1, x2, x3], -ln(even) / rate)) FROM (SELECT *, (CAST(('0x' || md5('42:4:' || restart || ':' || step || ':' || "
+    f"{_point_key})[1:13]) AS BIGINT) + 1) / 4503599627370496.0::DOUBLE AS even, n * CASE WHEN step = 0 THEN 1 ELSE list_min({_squares}) END AS rate "
+    "FROM seeds, points WHERE step < 4) WHERE rate > 0 GROUP BY step, restart",
+)
+_lloyd = (
+    "lloyd(i, restart, centres)",
+    "SELECT 0, restart, centres FROM seeds WHERE step = 4 UNION ALL SELECT i + 1, restart, list_transform([1, 2, 3, 4], lambda j: coalesce(fresh[j], centres[j])) "
+    "FROM (SELECT i, restart, any_value(centres) AS centres, map_from_entries(list({'k': cluster, 'v': c})) AS fresh FROM ("
+    "SELECT i, restart, any_value(centres) AS centres, CAST(list_position(d, list_min(d)) AS INT) AS cluster, [sum(n * x0) / sum(n), sum(n * x1) / sum(n), sum(n * x2) / sum(n), sum(n * x3) / sum(n)] AS c "
+    f"FROM (SELECT *, {_squares} AS d FROM lloyd, points WHERE i < 30) GROUP BY i, restart, CAST(list_position(d, list_min(d)) AS INT)) GROUP BY i, restart)",
+)
+_costs = (
+    "costs",
+    f"SELECT restart, cluster, any_value(centres)[cluster] AS c, sum(n) AS size, sum(n * least_) AS own FROM (SELECT *, list_min(d) AS least_, list_position(d, list_min(d)) AS cluster "
+    f"FROM (SELECT *, {_squares} AS d FROM lloyd, points WHERE i = 30)) GROUP BY restart, cluster",
+)
+add(
+    "kmeans_seeded",
+    "featured",
+    "SELECT CAST(4 AS INT) AS k, restart, CAST(row_number() OVER (ORDER BY round(c[1], 9), round(c[2], 9), round(c[3], 9), round(c[4], 9)) - 1 AS INT) AS cluster, CAST(size AS BIGINT) AS size, "
+    "(sum(own) OVER ()) AS cost, c[1] AS c0, c[2] AS c1, c[3] AS c2, c[4] AS c3 FROM costs WHERE restart = "
+    "(SELECT restart FROM costs GROUP BY restart ORDER BY round(sum(own), 9), restart LIMIT 1)",
+    "cost c0 c1 c2 c3",
+    more=(_scaled_points, _seeds, _lloyd, _costs),
+)
+for _key in ("logistic_newton", "kmeans_seeded"):
+    ORACLE[_key] = ORACLE[_key].replace("WITH ", "WITH RECURSIVE ", 1)
 add("association_rules", "featured", _rules, "support confidence lift", more=(_cells,))
 add(
     "top_association_rules",
