@@ -48,10 +48,21 @@ TEXTS = 64
 PART = 1 << 20
 #: The vocabulary cuts at white space and between letters and what is none, so that a text is the words between its
 #: blanks, without the marks that end them. (The letter left out becomes two when it is made small.)
-WORDS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+(?=[.,;:!?])|[^ \t\n\v\f\r]+")
+LATIN = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+"
+WORDS = re.compile(LATIN + r"(?=[.,;:!?])|[^ \t\n\v\f\r]+")
+LETTERS = re.compile(LATIN)
 BLANK = re.compile(r"[ \t\n\v\f\r]")
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write the Latin letters beyond ASCII: printable bytes stand for themselves, the
+    others follow in order from 256."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    letter = {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(128, 0x250)}
+
+
 class Words:
     """Ids of texts as little-endian bytes, word by word: words met before are not encoded again."""
 
@@ -64,14 +75,30 @@ class Words:
         #: A special token that stands between words: the tokenizer cuts there before anything else.
         special = [(number, token.content) for number, token in self.tokenizer.get_added_tokens_decoder().items() if token.special]
         self.between = special[0] if special else None
+        self.letters = byte_letters()
+        # Words of Latin letters go straight to the merges if that gives this vocabulary's ids.
+        self.straight = all(self.merged(w.lower()) == self.ids_of(w).tobytes() for w in ("The", "\u00c9tait", "na\u00efvet\u00e9", "z\u0142oty"))
 
     def ids_of(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
 
+    def merged(self, small: str) -> bytes:
+        """A word of small Latin letters, without the steps that would leave it as it is."""
+        return np.array([t.id for t in self.tokenizer.model.tokenize(small.translate(self.letters))], dtype=self.kind).tobytes()
+
     def learn(self, words: set[str]) -> None:
-        """Encode words together, or one by one where they hold what stands between."""
+        """Encode words: those of Latin letters by the merges alone, others together, or one by one where they hold what
+        stands between."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known = {}
+        if self.straight:
+            latin = {w for w in words if LETTERS.fullmatch(w)}
+            for word in latin:
+                small = word.lower()
+                if (ids := self.known.get(small)) is None:
+                    ids = self.known[small] = self.merged(small)
+                self.known[word] = ids
+            words = words - latin
         joined = [w for w in words if self.between and self.between[1] not in w]
         if joined:
             ids = self.ids_of(self.between[1].join(joined))
