@@ -48,7 +48,7 @@ TEXTS = 64
 PART = 1 << 20
 #: The vocabulary cuts at white space and between letters and what is none, so that a text is the words between its
 #: blanks, without the marks that end them. (The letter left out becomes two when it is made small.)
-LATIN = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+"
+LATIN = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+"
 WORDS = re.compile(LATIN + r"(?=[.,;:!?])|[^ \t\n\v\f\r]+")
 LETTERS = re.compile(LATIN)
 BLANK = re.compile(r"[ \t\n\v\f\r]")
@@ -60,7 +60,7 @@ def byte_letters() -> dict[int, str]:
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = [b for b in range(256) if b not in plain]
     letter = {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
-    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(128, 0x250)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(128, 0x180)}
 
 
 class Words:

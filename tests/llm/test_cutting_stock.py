@@ -98,7 +98,7 @@ def test_words_are_encoded_as_in_whole_texts(monkeypatch):
 def test_words_of_all_latin_letters():
     path = public_tokenizers.path("word_bpe_49k.json")
     words, tokenizer, rng = cutting_stock.Words(path), Tokenizer.from_file(path), random.Random(5)
-    letters = [chr(c) for c in range(0x41, 0x250) if cutting_stock.LETTERS.fullmatch(chr(c))]
+    letters = [chr(c) for c in range(0x41, 0x180) if cutting_stock.LETTERS.fullmatch(chr(c))]
     text = " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) + rng.choice(["", ",", "."]) for _ in range(5000)) + " ".join(letters)
     assert words.straight
     assert np.frombuffer(words.encode(text), words.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
