@@ -6,11 +6,12 @@
    that on the log-odds scale. So what says nothing about the label hardly counts, whatever the number of examples.
 2. One pass over all documents counts in how many of them each term occurs.
 3. Equal example vectors become one entry with its numbers of good and bad examples. The entries form an
-   inverted index in blocks of similar entries. Weights are never negative, so for a batch of texts the postings
-   of all but the most frequent terms give lower bounds of all cosines, and with each block's largest weights of the frequent terms
-   upper bounds per block. Only blocks whose bound reaches the k-th best lower bound are completed, by a matrix
-   product for all texts of the batch that need them: the search is exact. The index is bounded by the number of
-   examples and sent to every task.
+   inverted index in blocks of similar entries, with the largest weight of each term in each block. A batch of
+   texts is looked up at once. The light terms of a text, whose weights together are no longer than a small length,
+   add no more than that to any cosine. The largest weights of its other terms bound each block; the two
+   best blocks are scored first, then those whose bound reaches the k-th best score. Entries that may still be among the
+   k best with the light terms get these added. So the search is exact. The index is bounded by the
+   number of examples and sent to every task.
 4. Each near entry votes with its examples, weighted by its squared cosine over its distance; a small prior votes against.
 """
 
@@ -27,18 +28,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourtide.llm.common import LOWER, UPPER, crc32_remainder, renamed, stage
+from hourtide.llm.common import LOWER_BYTES, crc32_remainder, renamed, stage
 
 #: Labelled documents that are examples: the bound of the model.
-MOST_EXAMPLES = 5_000
+MOST_EXAMPLES = 2_500
 #: Beginnings of words of so many letters are terms, besides whole words.
-BEGINNINGS = (3, 5, 7)
+BEGINNINGS = (3, 6)
 #: Examples of the common share that a term is taken to have been seen in besides its own.
 SEEN_BEFORE = 20
 NEAREST = 10
 BLOCK = 64
-#: The terms that most entries hold make up the part of the index that blocks bound.
-FREQUENT = 512
+#: The length of the part of a text's vector that only near entries are compared with.
+LIGHT = 0.03
+#: Blocks that are scored first.
+FIRST_BLOCKS = 2
 #: Added to a distance before it divides a vote.
 SOFTEN = 0.1
 PRIOR_WEIGHT = 1.0
@@ -51,12 +54,12 @@ TEXTS, LETTERS = 128, 1 << 21
 REMEMBERED = 1 << 17
 COUNTS = 4096
 
-#: Letters in lower case; what is ASCII and no letter becomes a blank.
-SPELL = {c: " " for c in range(128) if not chr(c).isalpha()} | str.maketrans(UPPER, LOWER)
+#: Of UTF-8: A-Z in lower case; what is ASCII and no letter becomes a blank.
+SPELL = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in LOWER_BYTES)
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in text.translate(SPELL).split(" ") if w]
+    return [w for w in text.encode().translate(SPELL).decode().split(" ") if w]
 
 
 def terms_of(word: str) -> list[str]:
@@ -95,18 +98,23 @@ class Terms:
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place of the text, term, count), in order of both."""
         size = max(1, len(self.numbers))
-        keys, times = [], []
-        for place, text in enumerate(texts):
+        terms, lengths, times, places = [], [], [], []
+        for text in texts:
+            before = len(lengths)
+            get = self.known.get
             for word, n in Counter(words_of(text)).items():
-                found = self.known.get(word)
+                found = get(word)
                 if found is None:
                     found = self.of_word(word)
                 if found:
-                    keys.extend([place * size + t for t in found])
-                    times.extend([n] * len(found))
-        keys, where = np.unique(np.array(keys, dtype=np.int64), return_inverse=True)
-        counts = np.bincount(where, weights=np.array(times, dtype=np.float64), minlength=len(keys))
-        return keys // size, keys % size, counts
+                    terms += found
+                    lengths.append(len(found))
+                    times.append(n)
+            places.append(len(lengths) - before)
+        place = np.repeat(np.repeat(np.arange(len(texts)), places), lengths)
+        keys, where = np.unique(place * size + np.array(terms, dtype=np.int64), return_inverse=True)
+        counts = np.bincount(where, weights=np.repeat(np.array(times, dtype=np.float64), lengths), minlength=len(keys))
+        return keys // size, keys % size, counts.astype(float)
 
 
 def bounded(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -176,10 +184,23 @@ def relevance(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int)
     return np.where(np.abs(away) > 1e-9, away, 0.0) ** 2
 
 
+def runs_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, so many as its length, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def kth_largest(values: np.ndarray, k: int) -> np.ndarray:
+    """Of each row; 0 where that is negative or there are fewer."""
+    if values.shape[1] < k:
+        return np.zeros(len(values))
+    return np.maximum(np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k], 0.0)
+
+
 class BlockMaxIndex:
     """Entries (terms, counts, examples, toxic examples, an example's id) under ``weights`` of the terms."""
 
-    def __init__(self, weights: np.ndarray, entries: list[tuple[tuple[int, ...], tuple[int, ...], int, int, object]], frequent: int = FREQUENT) -> None:
+    def __init__(self, weights: np.ndarray, entries: list[tuple[tuple[int, ...], tuple[int, ...], int, int, object]]) -> None:
         self.weights = weights
         examples, toxic = sum(e[2] for e in entries), sum(e[3] for e in entries)
         self.prior = min(MOST_PRIOR, (toxic + 0.1) / (examples + 1.0))
@@ -201,27 +222,24 @@ class BlockMaxIndex:
         self.n = np.array([v[3] for v in vectors], dtype=float)
         self.toxic = np.array([v[4] for v in vectors], dtype=float)
         self.ids = [v[5] for v in vectors]
-        owner = np.repeat(np.arange(self.size), [len(v[1]) for v in vectors])
-        terms = np.concatenate([np.zeros(0, dtype=np.int64), *[np.array(v[1]) for v in vectors]]).astype(np.int64)
-        values = np.concatenate([np.zeros(0), *[v[2] for v in vectors]])
-        held = np.bincount(terms, minlength=len(weights))
-        common = np.argsort(-held, kind="stable")[:frequent]
-        common = common[held[common] > 0]
-        #: The column of a frequent term, -1 for others.
-        self.column = np.full(len(weights), -1)
-        self.column[common] = np.arange(len(common))
-        padded = self.blocks * BLOCK
-        self.dense = np.zeros((len(common), padded))
-        is_common = self.column[terms] >= 0
-        self.dense[self.column[terms[is_common]], owner[is_common]] = values[is_common]
-        self.largest = self.dense.reshape(len(common), self.blocks, BLOCK).max(axis=2) if self.blocks else np.zeros((len(common), 0))
-        order = np.argsort(terms[~is_common], kind="stable")
-        self.entries, self.values = owner[~is_common][order].astype(np.int32), values[~is_common][order]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms[~is_common], minlength=len(weights)))])
-
-    def nearest(self, place: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Numbers and cosines of the k entries with the largest positive cosine for each of ``n`` texts; equal ones,
-        to nine digits, go to the earlier entry."""
+        # The vectors one after another, and the postings of each term in order of entries.
+        self.vector_starts = np.concatenate([[0], np.cumsum([len(v[1]) for v in vectors])]).astype(np.int64)
+        owner = np.repeat(np.arange(self.size), np.diff(self.vector_starts))
+        self.vector_terms = np.concatenate([np.zeros(0, dtype=np.int64), *[np.array(v[1]) for v in vectors]]).astype(np.int32)
+        self.vector_values = np.concatenate([np.zeros(0), *[v[2] for v in vectors]])
+        order = np.argsort(self.vector_terms, kind="stable")
+        self.entries, self.values = owner[order].astype(np.int32), self.vector_values[order]
+        # Parts: the postings of one term in one block, with their largest weight.
+        keys = self.vector_terms[order].astype(np.int64) * max(1, self.blocks) + self.entries // BLOCK
+        firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+        self.part_starts = np.append(firsts, len(keys))
+        self.part_block = (keys[firsts] % max(1, self.blocks)).astype(np.int32)
+        self.part_largest = np.maximum.reduceat(self.values, firsts) if len(firsts) else np.zeros(0)
+        self.term_parts = np.concatenate([[0], np.cumsum(np.bincount(keys[firsts] // max(1, self.blocks), minlength=len(weights)))])
+
+    def nearest(self, place: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, k: int, light: float = LIGHT) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Numbers and cosines of the k entries with the largest positive cosine for each of ``n`` texts, whose counts come in
+        order of texts; equal ones, to nine digits, go to the earlier entry."""
         none = (np.zeros(0, dtype=np.int64), np.zeros(0))
         raw = (1 + np.log(counts)) * self.weights[terms]
         length = np.sqrt(np.bincount(place, weights=raw * raw, minlength=n))
@@ -230,36 +248,70 @@ class BlockMaxIndex:
             return [none] * n
         place, terms = place[used], terms[used]
         weights = raw[used] / length[place]
-        column = self.column[terms]
-        common = column >= 0
-        padded = self.blocks * BLOCK
-        # The postings of the other terms, one after another.
-        start = self.starts[terms[~common]]
-        lengths = self.starts[terms[~common] + 1] - start
-        ends = np.cumsum(lengths)
-        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - lengths), lengths)
-        keys = np.repeat(place[~common] * padded, lengths) + self.entries[at]
-        products = np.repeat(weights[~common], lengths) * self.values[at]
-        cosines = np.bincount(keys, weights=products, minlength=n * padded).astype(float).reshape(n, padded)
-        query = np.zeros((n, len(self.dense)))
-        query[place[common], column[common]] = weights[common]
-        bounds = cosines.reshape(n, self.blocks, BLOCK).max(axis=2) + query @ self.largest
-        # Rounding may put a bound a little below a cosine it bounds.
-        least = np.maximum(np.partition(cosines, max(0, padded - k), axis=1)[:, max(0, padded - k)], 0.0) - 1e-9
-        for block in range(self.blocks):
-            open_ = np.flatnonzero((bounds[:, block] >= least) & (bounds[:, block] > 0))
-            if len(open_):
-                part = slice(block * BLOCK, (block + 1) * BLOCK)
-                cosines[open_, part] += query[open_] @ self.dense[:, part]
-        cosines = np.round(cosines, 9)
-        worst = np.partition(cosines, max(0, padded - k), axis=1)[:, max(0, padded - k)]
-        found = []
+        # The light terms of each text: the smallest weights, as long as the squares do not add up to more.
+        order = np.lexsort((weights, place))
+        squares = np.cumsum(weights[order] ** 2)
+        first = np.searchsorted(place[order], np.arange(n))
+        before = np.where(first > 0, squares[np.maximum(first - 1, 0)], 0.0)
+        is_light = np.zeros(len(order), dtype=bool)
+        is_light[order] = (squares - before[place[order]] <= light * light) & (light > 0)
+        rest = np.sqrt(np.bincount(place[is_light], weights=weights[is_light] ** 2, minlength=n)) + 1e-9
+        heavy = ~is_light
+        cosines, least = self._heavy(place[heavy], terms[heavy], weights[heavy], n, k, rest)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        bounds = np.searchsorted(place, np.arange(n + 1))
+        scratch = np.zeros(len(self.weights))
         for text in range(n):
-            numbers = np.flatnonzero((cosines[text] >= worst[text]) & (cosines[text] > 0))
-            best = numbers[np.lexsort((numbers, -cosines[text, numbers]))[:k]]
-            found.append((best, cosines[text, best]))
+            own = slice(bounds[text], bounds[text + 1])
+            part = is_light[own]
+            if part.any() and least[text] <= rest[text]:
+                # So little is shared that light terms may decide anywhere: nothing counts as light.
+                found += self.nearest(np.zeros(own.stop - own.start, dtype=np.int64), terms[own], counts[used][own], 1, k, 0.0)
+                continue
+            near = np.flatnonzero(cosines[text] >= max(least[text] - rest[text], 1e-12))
+            scores = cosines[text, near]
+            if part.any() and len(near):
+                scratch[terms[own][part]] = weights[own][part]
+                lengths = self.vector_starts[near + 1] - self.vector_starts[near]
+                at = runs_of(self.vector_starts[near], lengths)
+                products = scratch[self.vector_terms[at]] * self.vector_values[at]
+                scores = scores + np.add.reduceat(products, np.cumsum(lengths) - lengths)
+                scratch[terms[own][part]] = 0.0
+            scores = np.round(scores, 9)
+            best = np.lexsort((near, -scores))[:k]
+            best = best[scores[best] > 0]
+            found.append((near[best], scores[best]))
         return found
 
+    def _heavy(self, place: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums over the given terms for all entries in blocks that may hold one of the k best, 0 elsewhere, and the k-th
+        largest sum. ``rest`` is what other terms can add."""
+        padded = self.blocks * BLOCK
+        n_parts = self.term_parts[terms + 1] - self.term_parts[terms]
+        parts = runs_of(self.term_parts[terms], n_parts)
+        owner, weight = np.repeat(place, n_parts), np.repeat(weights, n_parts)
+        block = self.part_block[parts]
+        bounds = np.bincount(owner * self.blocks + block, weights=weight * self.part_largest[parts], minlength=n * self.blocks)
+        bounds = bounds.astype(float).reshape(n, self.blocks)
+
+        def summed(chosen: np.ndarray) -> np.ndarray:
+            kept = chosen[owner, block]
+            starts = self.part_starts[parts[kept]]
+            lengths = self.part_starts[parts[kept] + 1] - starts
+            at = runs_of(starts, lengths)
+            keys = np.repeat(owner[kept] * padded, lengths) + self.entries[at]
+            products = np.repeat(weight[kept], lengths) * self.values[at]
+            return np.bincount(keys, weights=products, minlength=n * padded).astype(float).reshape(n, padded)
+
+        done = np.zeros((n, self.blocks), dtype=bool)
+        ahead = min(FIRST_BLOCKS, self.blocks)
+        np.put_along_axis(done, np.argpartition(-bounds, ahead - 1, axis=1)[:, :ahead], True, axis=1)
+        cosines = summed(done)
+        least = kth_largest(cosines, k)
+        # Rounding may put a bound a little below what it bounds.
+        cosines += summed((bounds + rest[:, None] + 1e-9 >= least[:, None]) & (bounds > 0) & ~done)
+        return cosines, kth_largest(cosines, k)
+
     def scores(self, place: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, k: int = NEAREST) -> list[tuple[float, list[object], list[float]]]:
         """The toxic share of the votes, and the evidence: nearest examples and their cosines."""
         out = []

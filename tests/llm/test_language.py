@@ -174,9 +174,9 @@ def test_index_is_exact():
         matrix[e[4]] = v / np.linalg.norm(v)
     queries = [(tuple(sorted(rng.choice(40, 4, replace=False).tolist())), rng.integers(1, 4, 4)) for _ in range(60)]
     place, terms, counts = np.repeat(np.arange(60), 4), np.concatenate([q[0] for q in queries]), np.concatenate([q[1] for q in queries])
-    for frequent in (0, 3, 40):
-        index = toxicity.BlockMaxIndex(idf, entries, frequent)
-        for (own, times), (numbers, cosines) in zip(queries, index.nearest(place, terms, counts, 60, 10)):
+    index = toxicity.BlockMaxIndex(idf, entries)
+    for light in (0.0, 0.05, 0.5, 0.9):
+        for (own, times), (numbers, cosines) in zip(queries, index.nearest(place, terms, counts, 60, 10, light)):
             query = np.zeros(40)
             query[list(own)] = (1 + np.log(times)) * idf[list(own)]
             exact = matrix @ query / np.linalg.norm(query)
