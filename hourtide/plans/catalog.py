@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ from hourtide.plans.jobs import FIRST_YEAR, LAST_YEAR, TEST_YEAR, TRAIN_THROUGH
 from hourtide.session import checkpoint_folder
 from hourtide.sources.observations import load, observations, scoring_requests
 from hourtide.sources.readers import parse_timestamps
-from hourtide.streaming.score_stream import request_stream, start_scoring
+from hourtide.streaming.score_stream import AliasedModel, request_stream, start_serving
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -633,8 +634,9 @@ def validate_requests(spark, sf_dir):
 
 @query
 def batch_score(spark, sf_dir):
+    """Requests scored by the model with the production alias."""
     cuts = jobs.serving_thresholds(jobs.featured_table(spark, sf_dir))
-    return scoring.score(scoring_requests(spark, sf_dir), jobs.trained(spark, sf_dir, models.GBT), cuts)
+    return scoring.score(scoring_requests(spark, sf_dir), PipelineModel.load(jobs.production_path(spark, sf_dir)), cuts)
 
 
 @query
@@ -642,20 +644,28 @@ def baseline_score(spark, sf_dir):
     """Requests scored by the training mean of their hour and day type instead of a model."""
     cuts = jobs.serving_thresholds(jobs.featured_table(spark, sf_dir))
     valid = scoring.validate_requests(scoring_requests(spark, sf_dir)).where("is_valid")
-    # One row per hour and day type.
-    means = jobs.training_rows(spark, sf_dir).groupBy("hour", "is_weekend").agg(F.avg("traffic_volume").alias("prediction"))
-    return scoring.graded(valid.join(F.broadcast(means), ["hour", "is_weekend"]), cuts)
+    return scoring.graded(jobs.mean_predictor(spark, sf_dir)(valid), cuts)
 
 
-@query
-def stream_score(spark, sf_dir):
+def _served(spark, sf_dir, predictor) -> DataFrame:
     out = f"{checkpoint_folder(spark)}/streams/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     scoring_requests(spark, sf_dir).write.parquet(f"{out}/requests")
     cuts = jobs.serving_thresholds(jobs.featured_table(spark, sf_dir))
-    model = jobs.trained(spark, sf_dir, models.GBT)
-    for started in start_scoring(request_stream(spark, f"{out}/requests"), model, cuts, out):
-        started.awaitTermination()
-    return spark.read.parquet(f"{out}/scored")
+    start_serving(request_stream(spark, f"{out}/requests"), predictor, cuts, out).awaitTermination()
+    return spark.read.parquet(f"{out}/scored").drop("model", "batch")
+
+
+@query
+def stream_score(spark, sf_dir):
+    """The request stream, each batch scored by the model that has the production alias then."""
+    return _served(spark, sf_dir, AliasedModel(lambda: jobs.production_path(spark, sf_dir)))
+
+
+@query
+def stream_baseline(spark, sf_dir):
+    """The same stream scored by training means instead of a model."""
+    means = jobs.mean_predictor(spark, sf_dir)
+    return _served(spark, sf_dir, lambda: ("means", means))
 
 
 @query

@@ -91,6 +91,15 @@ def record(spark: SparkSession, sf_dir: str, spec: models.ModelSpec, alias: str
     registry.append_run(spark, run_table(spark, sf_dir), spec, found, f"{store(spark, sf_dir, spec)}/{spec.kind}", alias)
 
 
+def production_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the serving model lies: the run with the production alias, else the stored boosted trees, else these fitted now."""
+    try:
+        return registry.aliased_path(spark, run_table(spark, sf_dir), PRODUCTION)
+    except LookupError:
+        trained(spark, sf_dir, models.GBT)
+        return f"{store(spark, sf_dir, models.GBT)}/{models.GBT.kind}"
+
+
 def evaluated(spark: SparkSession, sf_dir: str, spec: models.ModelSpec) -> DataFrame:
     return models.evaluate(spec, trained(spark, sf_dir, spec), featured_rows(spark, sf_dir, "test"))
 
@@ -106,6 +115,12 @@ def hour_day_prediction(labelled: DataFrame, fit_on) -> DataFrame:
     return metrics.group_mean_prediction(labelled, fit_on, ["hour", "is_weekend"], "traffic_volume")
 
 
+def mean_predictor(spark: SparkSession, sf_dir: str):
+    """Adds to requests, as ``prediction``, the training mean of their hour and day type: one row per hour and day type."""
+    means = training_rows(spark, sf_dir).groupBy("hour", "is_weekend").agg(F.avg("traffic_volume").alias("prediction"))
+    return lambda valid: valid.join(F.broadcast(means), ["hour", "is_weekend"])
+
+
 def weather_hour_risk(labelled: DataFrame, fit_on) -> DataFrame:
     """Baseline classifier: the fitted risk rate of the weather and hour, positive above one half."""
     scored = metrics.group_mean_prediction(labelled, fit_on, ["weather_main", "hour"], "high_risk", "score")

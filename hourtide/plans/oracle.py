@@ -854,6 +854,7 @@ add(
     "support confidence lift",
     more=(_cells,),
 )
+ORACLE["stream_baseline"] = ORACLE["baseline_score"]
 ORACLE["validate_requests"] = """
 SELECT request_id, problems = '' AS is_valid, problems FROM (
 SELECT k AS request_id, concat_ws(',',

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from hourtide.fixed_values import RAW_SCHEMA, TIMESTAMP_FORMAT, TIMESTAMP_PATTERN
 from hourtide.operators.ranks import running_totals
+from hourtide.sources.stages import write_stage
 
 
 def with_file_order(df: DataFrame, name: str = "seq") -> DataFrame:
@@ -44,6 +45,39 @@ def read_observations_csv(
     return with_file_order(reader.csv(path))
 
 
+def read_observations_aside(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, null_value: str | None = "None"
+) -> tuple[DataFrame, DataFrame]:
+    """The readable rows of a CSV scan, in file order, and the others: (file, line, reason, columns).
+
+    ``reason`` is "quotes" for a line with an open quote, "fields" for one with more or fewer values than the schema has
+    columns, and "values" for one with values that do not fit their types, named in ``columns`` in the schema's order.
+    Nothing is dropped: a record is in one of the two. Runs a job: the parsed rows are written to the shared folder.
+    """
+    names = [f.name for f in schema.fields]
+    wide = T.StructType([*schema.fields, T.StructField("unreadable_", T.StringType())])
+    reader = spark.read.schema(wide).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "unreadable_")
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    # Written whole: a scan of fewer columns would not look at the values of the others.
+    rows = write_stage(with_file_order(reader.csv(path).withColumn("source_", F.input_file_name())), "parsed")
+    text = T.StructType([T.StructField(f"v{i}", T.StringType()) for i in range(len(names) + 1)])
+    bad = rows.where(F.col("unreadable_").isNotNull()).select(F.col("source_").alias("file"), F.col("unreadable_").alias("line"))
+    outside = F.regexp_replace("line", r'"(?:[^"\\]|\\.)*"', "q")
+    values = F.from_csv("line", text.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE"})
+    broken = []
+    for i, field in enumerate(schema.fields):
+        value = values[f"v{i}"]
+        kept = value.isNotNull() & ((value != null_value) if null_value is not None else F.lit(True))
+        broken.append(F.when(kept & (F.trim(value) != "") & F.trim(value).try_cast(field.dataType).isNull(), F.lit(field.name)))
+    reason = (
+        F.when(outside.contains('"'), "quotes").when(F.regexp_count(outside, F.lit(",")) != len(names) - 1, "fields").otherwise("values")
+    )
+    judged = bad.select("file", "line", reason.alias("reason"), F.array_compact(F.array(*broken)).alias("columns"))
+    aside = judged.withColumn("columns", F.when(F.col("reason") == "values", F.col("columns")).otherwise(F.array().cast("array<string>")))
+    return rows.where(F.col("unreadable_").isNull()).drop("unreadable_", "source_"), aside
+
+
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     """A typed stage table (cleaned or featured)."""
     return spark.read.parquet(path)
