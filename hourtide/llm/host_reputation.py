@@ -1,6 +1,6 @@
 """Reputation of web hosts by empirical Bayes, and the filter that follows from it.
 
-Labelled pages are counted per host, then per registered domain and public suffix; only counts are
+Labelled pages, or pages as the rules leave them, are counted per host, then per registered domain and public suffix; only counts are
 shuffled. Going down from all pages to suffix, domain and host, each level is a beta distribution whose
 mean is the posterior mean of the level above and whose strength is fitted from how much the children
 differ (moments of a beta-binomial). A host with many labelled pages is judged by them, one with few by
@@ -119,7 +119,7 @@ def judge(
     """One row per row of ``df``: page_id, host, path, rule, verdict, bad_share, bound.
 
     ``label`` names a column with 1 for a bad page, 0 for a good one and null for an unlabelled one; without
-    it the verdicts of the rules are the labelled outcomes. The longest fitting rule decides, else the
+    it a page that a rule blocks is bad and every other one good: what nobody has blocked speaks for its host. The longest fitting rule decides, else the
     host's bound: above ``most_bad`` it is blocked. A null url, or one without ``://``, has an empty host
     and path, and is judged as pages of the empty host. Repeated rows are judged alike. An empty table
     gives no rows. The staged hosts are written when this is called.
@@ -133,7 +133,7 @@ def judge(
     )
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ruled = parts.select("*", rule.alias("rule"), verdict.alias("ruling"))
-    outcome = F.col("bad") if label else F.when(F.col("ruling") == "block", 1).when(F.col("ruling") == "allow", 0)
+    outcome = F.col("bad") if label else F.coalesce((F.col("ruling") == "block").cast("int"), F.lit(0))
     hosts = stage(reputations(ruled.select("host", outcome.alias("bad")), long_suffixes), "reputations")
     fallback = F.when(F.col("bound") > most_bad, "block").otherwise("allow")
     return ruled.join(hosts.select("host", F.col("mean").alias("bad_share"), "bound"), "host").select(
@@ -168,7 +168,7 @@ with parts as (
 ), ruled as (
   select *, {cases(1)} as rule, {cases(2)} as ruling from parts
 ), names as (
-  select host, sum(case ruling when 'block' then 1.0 else 0.0 end) as bad, cast(count(ruling) as double) as n,
+  select host, sum(case ruling when 'block' then 1.0 else 0.0 end) as bad, cast(count(*) as double) as n,
     array_to_string(string_split(host, '.')[-1:], '.') as last1, array_to_string(string_split(host, '.')[-2:], '.') as last2,
     array_to_string(string_split(host, '.')[-3:], '.') as last3
   from ruled group by host

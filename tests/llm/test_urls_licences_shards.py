@@ -138,3 +138,18 @@ def test_standard_notices_as_they_are_wrapped(spark):
     found = [(r["sentence_ids"], r["licences"]) for r in licences.scan_licences(df).orderBy("doc_id").collect()]
     assert found == [("22,6,7,8", "MIT"), ("9,10,11", "Apache-2.0"), ("16,17,18", "GPL-3.0"), ("12,13,14,15", "BSD-3-Clause"), ("12,13,14", "BSD-2-Clause"),
                      ("23", "MIT"), ("24", "Apache-2.0"), ("25", "GPL-3.0"), ("22,6,7,8", "MIT"), ("", ""), ("", ""), ("5", "proprietary"), ("", ""), ("5", "proprietary")]
+
+
+def test_unruled_pages_speak_for_their_host(spark):
+    """Hosts under a suffix whose rules only block: one in four pages blocked leaves the others allowed, nearly all blocks them.
+    Null, repeated and clashing rows come back as often as they are given; an empty table gives none."""
+    few = [(i, f"http://a.net/{'es/' if i % 4 == 0 else 'it/'}{i}", "x", 1) for i in range(40)]
+    many = [(100 + i, f"http://b.net/{'es/' if i < 60 else 'it/'}{i}", "x", 1) for i in range(62)]
+    rows = [*few, *many, few[0], few[1], (None, None, None, None), (7, None, "y", 2), (None, "no address", "y", 2)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, host string, bad int")
+    found = host_reputation.judge(frame).collect()
+    assert sorted(str(r["page_id"]) for r in found) == sorted(str(r[0]) for r in rows)
+    unruled = {host: {r["verdict"] for r in found if r["host"] == host and r["rule"] is None} for host in ("a.net", "b.net", "")}
+    assert unruled == {"a.net": {"allow"}, "b.net": {"block"}, "": {"allow"}}
+    assert {r["verdict"] for r in found if r["rule"]} == {"block"}
+    assert host_reputation.judge(frame.where("false")).count() == 0
