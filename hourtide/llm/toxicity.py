@@ -32,8 +32,8 @@ from hourtide.llm.common import LOWER_BYTES, crc32_remainder, renamed, stage
 
 #: Labelled documents that are examples: the bound of the model.
 MOST_EXAMPLES = 2_500
-#: Beginnings of words of so many letters are terms, besides whole words.
-BEGINNINGS = (3, 6)
+#: How words begin, in so many letters, are terms besides whole words.
+BEGINNINGS = (5,)
 #: Examples of the common share that a term is taken to have been seen in besides its own.
 SEEN_BEFORE = 20
 NEAREST = 10
@@ -51,7 +51,7 @@ THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 #: Texts, and letters, that are looked at together; words whose terms are remembered; counts in a row.
 TEXTS, LETTERS = 128, 1 << 21
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 COUNTS = 4096
 
 #: Of UTF-8: A-Z in lower case; what is ASCII and no letter becomes a blank.
@@ -268,14 +268,22 @@ class BlockMaxIndex:
                 # So little is shared that light terms may decide anywhere: nothing counts as light.
                 found += self.nearest(np.zeros(own.stop - own.start, dtype=np.int64), terms[own], counts[used][own], 1, k, 0.0)
                 continue
-            near = np.flatnonzero(cosines[text] >= max(least[text] - rest[text], 1e-12))
-            scores = cosines[text, near]
+            row = cosines[text]
+            near = np.flatnonzero(row >= max(least[text] - rest[text], 1e-12))
+            scores = row[near]
             if part.any() and len(near):
                 scratch[terms[own][part]] = weights[own][part]
-                lengths = self.vector_starts[near + 1] - self.vector_starts[near]
-                at = runs_of(self.vector_starts[near], lengths)
-                products = scratch[self.vector_terms[at]] * self.vector_values[at]
-                scores = scores + np.add.reduceat(products, np.cumsum(lengths) - lengths)
+                # The likeliest first: their scores leave fewer of the others.
+                likely = np.argsort(-scores, kind="stable")[: 3 * k]
+                sure = scores[likely] + self._light(scratch, near[likely])
+                if len(near) > len(likely) >= k:
+                    others = np.ones(len(near), dtype=bool)
+                    others[likely] = False
+                    others &= scores >= np.partition(sure, len(sure) - k)[len(sure) - k] - rest[text]
+                    more = np.flatnonzero(others)
+                    sure = np.append(sure, scores[more] + self._light(scratch, near[more]))
+                    likely = np.append(likely, more)
+                near, scores = near[likely], sure
                 scratch[terms[own][part]] = 0.0
             scores = np.round(scores, 9)
             best = np.lexsort((near, -scores))[:k]
@@ -283,6 +291,14 @@ class BlockMaxIndex:
             found.append((near[best], scores[best]))
         return found
 
+    def _light(self, scratch: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """What the weights of terms in ``scratch`` add to the cosines of some entries."""
+        if not len(near):
+            return np.zeros(0)
+        lengths = self.vector_starts[near + 1] - self.vector_starts[near]
+        at = runs_of(self.vector_starts[near], lengths)
+        return np.add.reduceat(scratch[self.vector_terms[at]] * self.vector_values[at], np.cumsum(lengths) - lengths)
+
     def _heavy(self, place: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums over the given terms for all entries in blocks that may hold one of the k best, 0 elsewhere, and the k-th
         largest sum. ``rest`` is what other terms can add."""
