@@ -75,6 +75,8 @@ def steps(points: DataFrame, width: int, runs: dict[tuple[int, int], list[list[f
     job per step, until nothing moves or ``most_steps``."""
     centres = {run: [list(c) for c in found] for run, found in runs.items() if found}
     costs: dict[tuple[int, int], float] = {}
+    if not centres:
+        return centres, costs
     for done in range(most_steps + 1):
         distances = _distances(width)
         near = _of_runs(points, centres).withColumn("distances", distances).withColumn("least", F.array_min("distances"))
