@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -17,9 +19,16 @@ from pyspark.storagelevel import StorageLevel
 from hourtide.operators.metrics import classification_metrics, regression_metrics
 from hourtide.operators.ranks import running_totals
 from hourtide.operators.splits import with_class_weights
+from hourtide.session import checkpoint_folder
+from hourtide.sources.stages import write_stage
 
 SEED = 42
-PARTITION_ROWS = 20_000
+#: Rows that a pass of boosting is dealt in, up to one part per core, and that a part holds at most.
+PARTITION_ROWS, MOST_ROWS = 20_000, 500_000
+#: Nodes of the trees that one fit of a regression forest may hold in the driver.
+MOST_NODES = 500_000
+#: Between the seeds of two groups of trees, so that no group draws by another's numbers.
+SEED_STEP = 1_000_003
 
 
 @dataclass(frozen=True)
@@ -68,39 +77,118 @@ def pipeline(spec: ModelSpec, features: list[str], train_rows: int | None = None
     raise ValueError(f"unknown model kind {spec.kind!r}")
 
 
-def fit(spec: ModelSpec, train: DataFrame, features: list[str]) -> PipelineModel:
+class GroupedForest:
+    """A regression forest stored in groups of trees under ``path``. One group at a time is held in the driver."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.path = path
+        table = spark.read.schema("number int, trees int").parquet(f"{path}/groups")
+        self.trees = {r["number"]: r["trees"] for r in table.orderBy("number").collect()}
+
+    def _group(self, number: int) -> PipelineModel:
+        return PipelineModel.load(f"{self.path}/group-{number}")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``prediction``, the mean over all trees. Runs a job per group, which writes the sum so far."""
+        scored = df.withColumn("sum_", F.lit(0.0))
+        for number, trees in self.trees.items():
+            added = self._group(number).transform(scored).withColumn("sum_", F.col("sum_") + trees * F.col("prediction"))
+            scored = write_stage(added.select(*df.columns, "sum_"), "forest")
+        return scored.select(*df.columns, (F.col("sum_") / sum(self.trees.values())).alias("prediction"))
+
+    def importances(self) -> list[float]:
+        """Impurity importances, the mean over all trees."""
+        weighted = [trees * self._group(number).stages[-1].featureImportances.toArray() for number, trees in self.trees.items()]
+        return [float(x) / sum(self.trees.values()) for x in sum(weighted)]
+
+
+Model = PipelineModel | GroupedForest
+
+
+def fit(spec: ModelSpec, train: DataFrame, features: list[str], path: str | None = None) -> Model:
     """Fit on ``train``. The estimators pass over the data many times, so the needed columns are held
-    (memory first, then disk) while they do; lost blocks are recomputed from the stage table. Boosting
-    runs several small jobs per tree, so the rows are held in as few partitions as they need."""
+    (memory first, then disk) while they do; lost blocks are recomputed from the stage table.
+
+    A regression forest whose trees could have more than ``MOST_NODES`` nodes is fitted in groups of trees, each stored
+    under ``path`` (by default a fresh folder) before the next."""
     prepared = train.select(*features, F.col(spec.label).cast("double").alias(spec.label))
     if spec.classifies:
         prepared = with_class_weights(prepared, spec.label)
     rows = train.count()
-    prepared = prepared.coalesce(max(1, -(-rows // PARTITION_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = dealt(spec, prepared, rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if spec.kind == "forest" and spec.params["numTrees"] * most_nodes(spec, rows) > MOST_NODES:
+            return fit_in_groups(spec, prepared, features, rows, path)
         return pipeline(spec, features, rows).fit(prepared)
     finally:
         prepared.unpersist()
 
 
-def load_or_fit(spec: ModelSpec, train: DataFrame, features: list[str], paths: list[str]) -> tuple[PipelineModel, str]:
+def dealt(spec: ModelSpec, prepared: DataFrame, rows: int) -> DataFrame:
+    """``prepared`` in the parts that its passes run over. Boosting runs several small jobs per tree, so a part has
+    ``PARTITION_ROWS`` as long as there are cores for more; a pass of a forest is long, so all cores share it. The parts and
+    their order follow from the rows, not from the files, and so do the bootstrap samples."""
+    if rows <= PARTITION_ROWS:
+        return prepared.coalesce(1)
+    cores = prepared.sparkSession.sparkContext.defaultParallelism
+    wanted = cores if spec.kind in ("forest", "forest_classifier") else min(cores, -(-rows // PARTITION_ROWS))
+    return prepared.repartition(max(wanted, -(-rows // MOST_ROWS)), *prepared.columns).sortWithinPartitions(*prepared.columns)
+
+
+def most_nodes(spec: ModelSpec, rows: int) -> int:
+    """Nodes that a tree has at most, by its depth and by its rows."""
+    return 2 * min(2 ** spec.params["maxDepth"], max(rows, 1)) - 1
+
+
+def fit_in_groups(spec: ModelSpec, prepared: DataFrame, features: list[str], rows: int, path: str | None = None) -> GroupedForest:
+    """As many trees at a time as ``MOST_NODES`` allows: the first group by the bound of a tree's nodes, each other by
+    twice the mean of the groups before. The bootstrap samples of a group follow from the seed and its number."""
+    spark = prepared.sparkSession
+    path = path or f"{checkpoint_folder(spark)}/models/{uuid.uuid4().hex}"
+    groups: list[tuple[int, int]] = []
+    left, nodes, bound = spec.params["numTrees"], 0, most_nodes(spec, rows)
+    while left:
+        trees = min(left, max(1, MOST_NODES // bound))
+        part = spec.with_params(numTrees=trees, seed=spec.params["seed"] + SEED_STEP * len(groups))
+        model = pipeline(part, features, rows).fit(prepared)
+        model.write().overwrite().save(f"{path}/group-{len(groups)}")
+        nodes, left = nodes + model.stages[-1].totalNumNodes, left - trees
+        bound = min(most_nodes(spec, rows), -(-2 * nodes // (spec.params["numTrees"] - left)))
+        groups.append((len(groups), trees))
+        del model
+    # Written last: a forest without it is not whole.
+    spark.createDataFrame(groups, "number int, trees int").coalesce(1).write.mode("overwrite").parquet(f"{path}/groups")
+    return GroupedForest(spark, path)
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    """The model stored at ``path``, in groups of trees or as one."""
+    try:
+        return GroupedForest(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return PipelineModel.load(path)
+
+
+def load_or_fit(spec: ModelSpec, train: DataFrame, features: list[str], paths: list[str]) -> tuple[Model, str]:
     """The first stored model among ``paths``, else a fresh fit saved to the last path. Returns the
     model and where it came from."""
     for path in paths:
         if stored(train.sparkSession, path):
-            return PipelineModel.load(path), path
-    model = fit(spec, train, features)
-    if paths:
+            return load(train.sparkSession, path), path
+    model = fit(spec, train, features, paths[-1] if paths else None)
+    if paths and isinstance(model, PipelineModel):
         model.write().overwrite().save(paths[-1])
     return model, "fitted"
 
 
 def stored(spark: SparkSession, path: str) -> bool:
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata/_SUCCESS")
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+    locations = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}/_SUCCESS") for part in ("metadata", "groups")]
+    return any(x.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(x) for x in locations)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: Model, df: DataFrame) -> DataFrame:
     """Add ``prediction`` and, for a classifier, ``score``, the probability of the positive class."""
     scored = model.transform(df)
     if "probability" in scored.columns:
@@ -109,22 +197,23 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(*df.columns, *extra)
 
 
-def evaluate(spec: ModelSpec, model: PipelineModel, test: DataFrame) -> DataFrame:
+def evaluate(spec: ModelSpec, model: Model, test: DataFrame) -> DataFrame:
     """One row of metrics with the model name."""
     scored = predict(model, test)
     found = classification_metrics(scored, spec.label) if spec.classifies else regression_metrics(scored, spec.label)
     return found.select(F.lit(spec.name).alias("model"), "*")
 
 
-def feature_importance(model: PipelineModel, features: list[str], spark: SparkSession, n: int = 15) -> DataFrame:
+def feature_importance(model: Model, features: list[str], spark: SparkSession, n: int = 15) -> DataFrame:
     """The ``n`` largest impurity importances of a tree model (one number per feature)."""
-    values = [float(x) for x in model.stages[-1].featureImportances.toArray()]
+    grouped = isinstance(model, GroupedForest)
+    values = model.importances() if grouped else [float(x) for x in model.stages[-1].featureImportances.toArray()]
     table = spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(n)
 
 
 def permutation_importance(
-    model: PipelineModel,
+    model: Model,
     df: DataFrame,
     features: list[str],
     label: str,

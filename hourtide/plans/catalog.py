@@ -8,7 +8,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -636,7 +635,7 @@ def validate_requests(spark, sf_dir):
 def batch_score(spark, sf_dir):
     """Requests scored by the model with the production alias."""
     cuts = jobs.serving_thresholds(jobs.featured_table(spark, sf_dir))
-    return scoring.score(scoring_requests(spark, sf_dir), PipelineModel.load(jobs.production_path(spark, sf_dir)), cuts)
+    return scoring.score(scoring_requests(spark, sf_dir), models.load(spark, jobs.production_path(spark, sf_dir)), cuts)
 
 
 @query

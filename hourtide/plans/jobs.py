@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +71,7 @@ def store(spark: SparkSession, sf_dir: str, *what: object) -> str:
     return f"{checkpoint_folder(spark)}/models/{mark}"
 
 
-def trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec, *parts: str) -> PipelineModel:
+def trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec, *parts: str) -> models.Model:
     """The model for the input and ``spec``: stored by this or an earlier application, or fitted once and
     stored. ``parts`` names the part of the monitored rows to fit on, instead of all training rows."""
     rows = parted_rows(spark, sf_dir).where(F.col("part").isin(*parts)) if parts else training_rows(spark, sf_dir)

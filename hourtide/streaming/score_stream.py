@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hourtide.fixed_values import REQUEST_SCHEMA
+from hourtide.operators.models import load
 from hourtide.operators.scoring import graded, quarantined, request_features, score, validate_requests
 
 #: Adds ``prediction`` to valid requests.
@@ -48,7 +49,7 @@ class AliasedModel:
     def __call__(self) -> tuple[str, Predictor]:
         path = self.resolve()
         if path != self.path:
-            self.path, self.model = path, PipelineModel.load(path)
+            self.path, self.model = path, load(SparkSession.active(), path)
         return path, lambda valid: self.model.transform(request_features(valid))
 
 

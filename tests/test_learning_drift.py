@@ -283,3 +283,28 @@ def test_cluster_names(spark):
     df = spark.createDataFrame([(i, h, v) for i, (h, v) in enumerate(cases)], "cluster int, mean_hour double, mean_volume double")
     names = [r["name"] for r in clusters.name_profiles(df).orderBy("cluster").collect()]
     assert names == ["Night lull", "Shoulder hours", "Midday moderate", "Shoulder hours", "Midday moderate", "Peak commute"]
+
+
+def test_large_forest_is_fitted_in_groups(spark, tmp_path, monkeypatch):
+    """Trees that could have more nodes than one fit may hold come in groups; the forest is the mean of all of them."""
+    frame = spark.range(400).select(F.pmod(F.col("id") * 37, 101).cast("double").alias("a"), F.rand(1).alias("b"), (F.col("id") % 7).cast("double").alias("traffic_volume"))
+    spec = models.FOREST.with_params(numTrees=9, maxDepth=3)
+    whole, _ = models.load_or_fit(spec, frame, ["a", "b"], [str(tmp_path / "whole")])
+    assert isinstance(whole, models.PipelineModel) and models.most_nodes(spec, 400) == 15 and models.most_nodes(spec, 2) == 3
+    monkeypatch.setattr(models, "MOST_NODES", 45)
+    path = str(tmp_path / "grouped")
+    model, origin = models.load_or_fit(spec, frame, ["a", "b"], [path])
+    assert origin == "fitted" and sum(model.trees.values()) == 9 and len(model.trees) >= 3
+    parts = [models.PipelineModel.load(f"{path}/group-{i}") for i in model.trees]
+    assert all(p.stages[-1].totalNumNodes <= 45 and p.stages[-1].getNumTrees == n for p, n in zip(parts, model.trees.values()))
+    scored = frame.limit(20).cache()
+    plain = [[tree.predict(p.stages[0].transform(scored).collect()[i]["features"]) for p in parts for tree in p.stages[-1].trees] for i in range(3)]
+    again, origin = models.load_or_fit(spec, frame, ["a", "b"], [path])
+    assert origin == path and isinstance(models.load(spark, path), models.GroupedForest)
+    found = models.predict(again, scored)
+    assert found.columns == [*scored.columns, "prediction"] and found.count() == 20
+    keyed = {(r["a"], r["b"]): r["prediction"] for r in found.collect()}
+    rows = scored.collect()
+    assert [keyed[r["a"], r["b"]] for r in rows[:3]] == pytest.approx([sum(p) / 9 for p in plain])
+    ranked = models.feature_importance(again, ["a", "b"], spark)
+    assert sum(r["importance"] for r in ranked.collect()) == pytest.approx(1.0)
