@@ -104,7 +104,9 @@ def seeded_kmeans(df: DataFrame, features: list[str], ks: list[int], restarts: i
     """(k, restart, cluster, size, cost, c0, c1, ...): the restart with the lowest cost (the first of equal ones) for each k, with
     clusters numbered by their centres' coordinates. ``cost`` is that of the whole run. No rows give no clusters."""
     width = len(features)
-    points = write_stage(scaled_points(df, features), "points")
+    # Few bytes are much work here: written in one part per core, so that no step waits for one task.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    points = write_stage(scaled_points(df, features).repartition(cores, F.xxhash64(*[f"x{i}" for i in range(width)])), "points")
     centres, costs = steps(points, width, seeds(points, width, ks, restarts, seed), most_steps)
     best = {}
     for (k, restart), cost in sorted(costs.items()):

@@ -102,3 +102,13 @@ def test_silhouette_equals_a_plain_one(clumps):
     assert lloyd.sampled_silhouette(points, 2, centres) == pytest.approx(np.mean(scores))
     assert lloyd.sampled_silhouette(points, 2, centres[:1]) == 0.0
     assert math.isfinite(lloyd.sampled_silhouette(points, 2, centres, most=40))
+
+
+def test_steps_share_the_points_among_the_cores(spark, clumps, monkeypatch):
+    """The few bytes of the points would else be one file, and each step one task."""
+    staged = {}
+    write = lloyd.write_stage
+    monkeypatch.setattr(lloyd, "write_stage", lambda df, name: staged.setdefault(name, write(df, name)))
+    assert lloyd.seeded_kmeans(clumps, ["p", "q"], [2], restarts=1, most_steps=1).count() == 2
+    files = [r["file"] for r in staged["points"].select(F.input_file_name().alias("file")).distinct().collect()]
+    assert len(files) == spark.sparkContext.defaultParallelism > 1
