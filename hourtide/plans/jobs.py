@@ -13,7 +13,7 @@ from hourtide.operators import clean as cleaning
 from hourtide.operators import drift, features, metrics, models, recommend, registry, splits
 from hourtide.session import checkpoint_folder
 from hourtide.sources.observations import observations
-from hourtide.sources.stages import listing, shared_stage
+from hourtide.sources.stages import listing, shared_stage, write_stage
 
 # The years of the derived observations (the last one is partial).
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -115,8 +115,10 @@ def hour_day_prediction(labelled: DataFrame, fit_on) -> DataFrame:
 
 
 def mean_predictor(spark: SparkSession, sf_dir: str):
-    """Adds to requests, as ``prediction``, the training mean of their hour and day type: one row per hour and day type."""
+    """Adds to requests, as ``prediction``, the training mean of their hour and day type: one row per hour and day type.
+    They are written once, so that a batch of a stream does not read the training rows."""
     means = training_rows(spark, sf_dir).groupBy("hour", "is_weekend").agg(F.avg("traffic_volume").alias("prediction"))
+    means = write_stage(means, "means")
     return lambda valid: valid.join(F.broadcast(means), ["hour", "is_weekend"])
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourtide.operators import models, registry
+from hourtide.plans import jobs
 from hourtide.sources.readers import read_observations_aside
 from hourtide.streaming.score_stream import AliasedModel, request_stream, start_serving
 
@@ -82,3 +83,11 @@ def test_unreadable_records_go_aside(spark, tmp_path):
     }
     counts = {r["reason"]: r["count"] for r in aside.groupBy("reason").count().collect()}
     assert counts == {"values": 2, "fields": 2}
+
+
+def test_a_batch_does_not_compute_the_means_again(spark, sf_dir):
+    predict = jobs.mean_predictor(spark, sf_dir)
+    scored = predict(spark.createDataFrame([(0, 0), (7, 1)], "hour int, is_weekend int"))
+    assert "Aggregate" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    fitted = jobs.training_rows(spark, sf_dir).where("hour = 7 and is_weekend = 1").agg(F.avg("traffic_volume")).first()[0]
+    assert {r["hour"]: r["prediction"] for r in scored.collect()}[7] == pytest.approx(fitted)
