@@ -23,7 +23,7 @@ from hourtide.session import checkpoint_folder
 from hourtide.sources.stages import write_stage
 
 SEED = 42
-#: Rows that a pass of boosting is dealt in, up to one part per core, and that a part holds at most.
+#: Rows of a part in boosting, and the most in a part of a regression forest.
 PARTITION_ROWS, MOST_ROWS = 20_000, 500_000
 #: Nodes of the trees that one fit of a regression forest may hold in the driver.
 MOST_NODES = 500_000
@@ -125,14 +125,13 @@ def fit(spec: ModelSpec, train: DataFrame, features: list[str], path: str | None
 
 
 def dealt(spec: ModelSpec, prepared: DataFrame, rows: int) -> DataFrame:
-    """``prepared`` in the parts that its passes run over. Boosting runs several small jobs per tree, so a part has
-    ``PARTITION_ROWS`` as long as there are cores for more; a pass of a forest is long, so all cores share it. The parts and
-    their order follow from the rows, not from the files, and so do the bootstrap samples."""
-    if rows <= PARTITION_ROWS:
-        return prepared.coalesce(1)
+    """``prepared`` in the parts that its passes run over. Boosting runs several small jobs per tree, so the rows are held
+    in as few parts as they need. A pass of a regression forest is long, so all cores share it; its parts and their order
+    follow from the rows, not from the files, and so do the bootstrap samples."""
+    if spec.kind != "forest" or rows <= PARTITION_ROWS:
+        return prepared.coalesce(max(1, -(-rows // PARTITION_ROWS)))
     cores = prepared.sparkSession.sparkContext.defaultParallelism
-    wanted = cores if spec.kind in ("forest", "forest_classifier") else min(cores, -(-rows // PARTITION_ROWS))
-    return prepared.repartition(max(wanted, -(-rows // MOST_ROWS)), *prepared.columns).sortWithinPartitions(*prepared.columns)
+    return prepared.repartition(max(cores, -(-rows // MOST_ROWS)), *prepared.columns).sortWithinPartitions(*prepared.columns)
 
 
 def most_nodes(spec: ModelSpec, rows: int) -> int:

@@ -308,3 +308,19 @@ def test_large_forest_is_fitted_in_groups(spark, tmp_path, monkeypatch):
     assert [keyed[r["a"], r["b"]] for r in rows[:3]] == pytest.approx([sum(p) / 9 for p in plain])
     ranked = models.feature_importance(again, ["a", "b"], spark)
     assert sum(r["importance"] for r in ranked.collect()) == pytest.approx(1.0)
+
+
+def test_training_rows_are_dealt_by_their_number(spark):
+    """However few files the rows lie in, a regression forest has a part per core."""
+    few = spark.range(0, 50_000, 1, 1).select((F.col("id") % 1000).cast("double").alias("a"), F.col("id").cast("double").alias("traffic_volume"))
+    cores = spark.sparkContext.defaultParallelism
+
+    def parts(spec, rows, frame=few):
+        counts = models.dealt(spec, frame, rows).groupBy(F.spark_partition_id().alias("part")).count()
+        return len(counts.collect())
+
+    assert cores == 4 and parts(models.FOREST, 50_000) == 4 and parts(models.FOREST, 3_000_000) == 6
+    assert parts(models.GBT, 50_000, few.repartition(5)) == 3
+    assert parts(models.FOREST, 20_000) == 1 and parts(models.GBT, 20_000, few.repartition(5)) == 1
+    one, other = ([r["a"] for r in models.dealt(models.FOREST, f, 50_000).collect()] for f in (few, few.repartition(7)))
+    assert one == other
