@@ -57,17 +57,19 @@ FOREST_CLASSIFIER = ModelSpec("RandomForestClassifier", "forest_classifier", "hi
 
 def pipeline(spec: ModelSpec, features: list[str], train_rows: int | None = None) -> Pipeline:
     """Assembler, scaler for the logistic model, estimator. The logistic model gets an L2 penalty of
-    1 / rows, the counterpart of a unit penalty on the summed loss."""
+    1 / rows, the counterpart of a unit penalty on the summed loss. Forests keep the node of every row and tree from pass
+    to pass: without that each pass sends all trees to the tasks and sends every row down from their roots."""
     columns = {"featuresCol": "features", "labelCol": spec.label}
+    forest = {**columns, "cacheNodeIds": True}
     assemble = VectorAssembler(inputCols=features, outputCol="features")
     if spec.kind == "linear":
         return Pipeline(stages=[assemble, LinearRegression(**columns, **spec.params)])
     if spec.kind == "gbt":
         return Pipeline(stages=[assemble, GBTRegressor(**columns, **spec.params)])
     if spec.kind == "forest":
-        return Pipeline(stages=[assemble, RandomForestRegressor(**columns, **spec.params)])
+        return Pipeline(stages=[assemble, RandomForestRegressor(**{**forest, **spec.params})])
     if spec.kind == "forest_classifier":
-        return Pipeline(stages=[assemble, RandomForestClassifier(**columns, weightCol="weight", **spec.params)])
+        return Pipeline(stages=[assemble, RandomForestClassifier(**{**forest, "weightCol": "weight", **spec.params})])
     if spec.kind == "logistic":
         assemble = VectorAssembler(inputCols=features, outputCol="assembled")
         scale = StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True)
@@ -115,6 +117,10 @@ def fit(spec: ModelSpec, train: DataFrame, features: list[str], path: str | None
     if spec.classifies:
         prepared = with_class_weights(prepared, spec.label)
     rows = train.count()
+    context = train.sparkSession.sparkContext
+    if spec.kind in ("forest", "forest_classifier") and context.getCheckpointDir() is None:
+        # The kept nodes are cut off from the passes before, every tenth pass.
+        context.setCheckpointDir(checkpoint_folder(train.sparkSession))
     prepared = dealt(spec, prepared, rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if spec.kind == "forest" and spec.params["numTrees"] * most_nodes(spec, rows) > MOST_NODES:

@@ -324,3 +324,17 @@ def test_training_rows_are_dealt_by_their_number(spark):
     assert parts(models.FOREST, 20_000) == 1 and parts(models.GBT, 20_000, few.repartition(5)) == 1
     one, other = ([r["a"] for r in models.dealt(models.FOREST, f, 50_000).collect()] for f in (few, few.repartition(7)))
     assert one == other
+
+
+def test_forests_keep_the_nodes_of_rows(spark):
+    """A pass starts from the kept nodes, not from the roots of all trees; the trees are the same ones."""
+    a, b, c = F.pmod(F.col("id") * 37, 101), F.pmod(F.col("id") * 53, 97), F.pmod(F.col("id") * 11, 7)
+    frame = spark.range(0, 600, 1, 1).select(
+        a.cast("double").alias("a"), b.cast("double").alias("b"), (a * b + c).cast("double").alias("traffic_volume"), ((a + c) % 3 == 0).cast("int").alias("high_risk")
+    )
+    for spec in (models.FOREST.with_params(numTrees=4, maxDepth=12), models.FOREST_CLASSIFIER.with_params(numTrees=4, maxDepth=14)):
+        assert models.pipeline(spec, ["a", "b"]).getStages()[-1].getCacheNodeIds()
+        kept, plain = (models.fit(s, frame, ["a", "b"]).stages[-1] for s in (spec, spec.with_params(cacheNodeIds=False)))
+        assert max(t.depth for t in kept.trees) > 10
+        assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
+    assert spark.sparkContext.getCheckpointDir()
