@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -43,13 +45,13 @@ MOST_ROUNDS = 4000
 #: A sequence may be padded by this share; others are cut at powers of two.
 PADDING = 1 / 32
 REMEMBERED = 1 << 19
-TEXTS = 64
-#: Texts are encoded in parts of about so many letters, and so many new words at once.
+#: Texts are encoded in parts of about so many letters.
 PART = 1 << 20
 #: The vocabulary cuts at white space and between letters and what is none, so that a text is the words between its
-#: blanks, without the marks that end them. (The letter left out becomes two when it is made small.)
-LATIN = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+"
-WORDS = re.compile(LATIN + r"(?=[.,;:!?])|[^ \t\n\v\f\r]+")
+#: blanks, Latin letters and what follows them for themselves. (The letter left out becomes two when it is made small;
+#: letters are not cut off from what is not ASCII, which may be a mark on the last one.)
+LATIN = r"[A-Za-zÀ-ÖØ-öø-įı-ſ]+"
+WORDS = re.compile(LATIN + r"+(?=[\x00-@\[-`{-\x7F]|\Z)|[^ \t\n\v\f\r]+")
 LETTERS = re.compile(LATIN)
 BLANK = re.compile(r"[ \t\n\v\f\r]")
 
@@ -63,6 +65,20 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(128, 0x180)}
 
 
+class Known(dict):
+    """Ids of words as little-endian bytes. A word not met before is encoded by ``encode`` and remembered."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class Words:
     """Ids of texts as little-endian bytes, word by word: words met before are not encoded again."""
 
@@ -70,45 +86,30 @@ class Words:
         # Tasks already share the cores.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
-        #: A special token that stands between words: the tokenizer cuts there before anything else.
-        special = [(number, token.content) for number, token in self.tokenizer.get_added_tokens_decoder().items() if token.special]
-        self.between = special[0] if special else None
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.known = Known(self.word)
         self.letters = byte_letters()
         # Words of Latin letters go straight to the merges if that gives this vocabulary's ids.
-        self.straight = all(self.merged(w.lower()) == self.ids_of(w).tobytes() for w in ("The", "\u00c9tait", "na\u00efvet\u00e9", "z\u0142oty"))
+        self.straight = all(self.merged(w.lower()) == self.whole(w) for w in ("The", "\u00c9tait", "na\u00efvet\u00e9", "z\u0142oty"))
 
-    def ids_of(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def whole(self, text: str) -> bytes:
+        """By all steps of the tokenizer."""
+        return self.packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def merged(self, small: str) -> bytes:
         """A word of small Latin letters, without the steps that would leave it as it is."""
-        return np.array([t.id for t in self.tokenizer.model.tokenize(small.translate(self.letters))], dtype=self.kind).tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        """Encode words: those of Latin letters by the merges alone, others together, or one by one where they hold what
-        stands between."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known = {}
-        if self.straight:
-            latin = {w for w in words if LETTERS.fullmatch(w)}
-            for word in latin:
-                small = word.lower()
-                if (ids := self.known.get(small)) is None:
-                    ids = self.known[small] = self.merged(small)
-                self.known[word] = ids
-            words = words - latin
-        joined = [w for w in words if self.between and self.between[1] not in w]
-        if joined:
-            ids = self.ids_of(self.between[1].join(joined))
-            ends = np.append(np.flatnonzero(ids == self.between[0]), len(ids)).tolist()
-            begin = 0
-            for word, end in zip(joined, ends):
-                self.known[word] = ids[begin:end].tobytes()
-                begin = end + 1
-        for word in words - set(joined):
-            self.known[word] = self.ids_of(word).tobytes()
+        return self.packed([t.id for t in self.model.tokenize(small if small.isascii() else small.translate(self.letters))])
+
+    def word(self, word: str) -> bytes:
+        if not self.straight or not LETTERS.fullmatch(word):
+            return self.whole(word)
+        small = word.lower()
+        return self.merged(small) if small == word else self.known[small]
 
     def parts(self, text: str) -> Iterator[list[str]]:
         """The words of bounded parts of a text; a part ends behind a word."""
@@ -119,24 +120,14 @@ class Words:
             yield WORDS.findall(text, begin, end)
             begin = end
 
-    def meet(self, words: set[str]) -> None:
-        """Make all ``words`` known."""
-        if new := {w for w in words if w not in self.known}:
-            self.learn(new)
-            # Where there was no room beside those known, these are forgotten.
-            if len(new) < len(words) and any(w not in self.known for w in words):
-                self.learn(words)
+    def encode(self, text: str) -> bytes:
+        return b"".join([b"".join(map(self.known.__getitem__, words)) for words in self.parts(text)])
 
-    def meet_all(self, texts: list[str]) -> None:
-        """Make the words of several short texts known at once: encoding few words takes as long as many."""
-        self.meet({w for text in texts if len(text) < PART for w in WORDS.findall(text)})
 
-    def encode(self, text: str) -> bytes:
-        ids = []
-        for words in self.parts(text):
-            self.meet(set(words))
-            ids.append(b"".join(map(self.known.__getitem__, words)))
-        return b"".join(ids)
+@cache
+def words_by(vocabulary: str) -> Words:
+    """One for all tasks of a worker, so that they share the words met."""
+    return Words(vocabulary)
 
 
 def checksum(ids: np.ndarray) -> int:
@@ -152,16 +143,14 @@ def class_of(length: int, room: int, width: int) -> int:
 
 def _encoded(vocabulary: str, end_id: int, room: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: its number, ids, and its tail's class and place among the task's tails of that class."""
-    words = Words(vocabulary)
+    words = words_by(vocabulary)
     part = TaskContext.get().partitionId()
     done, whole = 0, 0
     tails = np.zeros(-(-room // width) + 1, dtype=np.int64)
     for batch in batches:
         numbers, ids, lengths, classes, places, before, crcs, tail_crcs = [], [], [], [], [], [], [], []
         texts = pc.fill_null(batch.column(1), "").to_pylist()
-        for nth, text in enumerate(texts):
-            if nth % TEXTS == 0:
-                words.meet_all(texts[nth : nth + TEXTS])
+        for text in texts:
             own = np.append(np.frombuffer(words.encode(text), dtype=words.kind), words.kind.type(end_id))
             tail = len(own) % room
             at = class_of(tail, room, width)

@@ -104,6 +104,18 @@ def test_words_of_all_latin_letters():
     assert np.frombuffer(words.encode(text), words.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_cut_off_from_what_follows():
+    """Latin letters are remembered without the marks behind them, whichever these are; tasks of a worker share what they met."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, tokenizer, rng = cutting_stock.Words(path), Tokenizer.from_file(path), random.Random(6)
+    words.encode("chou*** chou### chou's chou12 Chou\x1c chou<|endoftext|>")
+    assert "chou" in words.known and not any(w.startswith("chou") and len(w) > 4 for w in words.known)
+    behind = [chr(c) for c in range(1, 128) if not chr(c).isalpha()] + ["\u0338", "\u0301", "\u00a0", "\u00df", "\u4e2d", "<|endoftext|>", "'t", "<\u0338", ""]
+    text = "".join(rng.choice(["don", "\u00c9t\u00e9", "e", "S", "12", ""]) + rng.choice(behind) + rng.choice(["", "", " ", "\n"]) for _ in range(20_000))
+    assert np.frombuffer(words.encode(text), words.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert cutting_stock.words_by(path) is cutting_stock.words_by(path)
+
+
 def test_knapsack_against_all_patterns():
     rng = np.random.default_rng(2)
     for _ in range(20):
