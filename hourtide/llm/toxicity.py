@@ -20,11 +20,14 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,7 @@ from hourtide.llm.common import LOWER_BYTES, crc32_remainder, renamed, stage
 
 #: Labelled documents that are examples: the bound of the model.
 MOST_EXAMPLES = 2_500
-#: How words begin, in so many letters, are terms besides whole words.
+#: How words begin, in so many letters (more before fewer), are terms besides whole words.
 BEGINNINGS = (5,)
 #: Examples of the common share that a term is taken to have been seen in besides its own.
 SEEN_BEFORE = 20
@@ -50,8 +53,8 @@ MOST_PRIOR = 0.1
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 #: Texts, and letters, that are looked at together; words whose terms are remembered; counts in a row.
-TEXTS, LETTERS = 128, 1 << 21
-REMEMBERED = 1 << 18
+TEXTS, LETTERS = 32, 1 << 21
+REMEMBERED = 1 << 19
 COUNTS = 4096
 
 #: Of UTF-8: A-Z in lower case; what is ASCII and no letter becomes a blank.
@@ -59,7 +62,12 @@ SPELL = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in LOWER_BYTES)
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in text.encode().translate(SPELL).decode().split(" ") if w]
+    return [w.decode() for w in spelled(text) if w]
+
+
+def spelled(text: str) -> list[bytes]:
+    """The words in UTF-8, and empty ones between neighbouring blanks."""
+    return text.encode().translate(SPELL).split(b" ")
 
 
 def terms_of(word: str) -> list[str]:
@@ -82,41 +90,60 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
+class FirstTerms(dict):
+    """The number of the first term of each word met, by ``find``."""
+
+    def __init__(self, find: Callable[[bytes], int]) -> None:
+        self.find = find
+
+    def __missing__(self, word: bytes) -> int:
+        found = self.find(word)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Terms:
-    """Numbers of terms, and the counts of texts by them."""
+    """Numbers of terms, and the counts of texts by them. A word's first known term tells its others: ``after`` has the
+    next one of each term, -1 for none."""
 
     def __init__(self, numbers: dict[str, int]) -> None:
-        self.numbers, self.known = numbers, {}
+        self.numbers, self.known = numbers, FirstTerms(self.first_of)
+        self.after = np.full(len(numbers), -1, dtype=np.int64)
 
-    def of_word(self, word: str) -> list[int]:
-        found = [n for t in terms_of(word) if (n := self.numbers.get(t)) is not None]
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[word] = found
-        return found
+    def first_of(self, word: bytes) -> int:
+        found = [n for t in terms_of(word.decode()) if (n := self.numbers.get(t)) is not None]
+        for n, after in zip(found, found[1:]):
+            self.after[n] = after
+        return found[0] if found else -1
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place of the text, term, count), in order of both."""
         size = max(1, len(self.numbers))
-        terms, lengths, times, places = [], [], [], []
-        for text in texts:
-            before = len(lengths)
-            get = self.known.get
-            for word, n in Counter(words_of(text)).items():
-                found = get(word)
-                if found is None:
-                    found = self.of_word(word)
-                if found:
-                    terms += found
-                    lengths.append(len(found))
-                    times.append(n)
-            places.append(len(lengths) - before)
-        place = np.repeat(np.repeat(np.arange(len(texts)), places), lengths)
-        keys, where = np.unique(place * size + np.array(terms, dtype=np.int64), return_inverse=True)
-        counts = np.bincount(where, weights=np.repeat(np.array(times, dtype=np.float64), lengths), minlength=len(keys))
+        words = [spelled(text) for text in texts]
+        lengths = [len(w) for w in words]
+        terms = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, sum(lengths))
+        begin = np.repeat(np.arange(len(texts)) * size, lengths)
+        found = []
+        while len(terms):
+            met = terms >= 0
+            begin, terms = begin[met], terms[met]
+            found.append(begin + terms)
+            terms = self.after[terms]
+        keys = np.sort(np.concatenate([np.zeros(0, dtype=np.int64), *found]))
+        firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+        counts = np.diff(np.append(firsts, len(keys)))
+        keys = keys[firsts]
         return keys // size, keys % size, counts.astype(float)
 
 
+@lru_cache(maxsize=1)
+def terms_by(sent: Broadcast) -> Terms:
+    """One for all tasks of a worker, so that they share the words met."""
+    return Terms(sent.value)
+
+
 def bounded(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts, with the place of their first, of a bounded number of letters or one text."""
     begin, letters = 0, 0
@@ -131,7 +158,7 @@ def bounded(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 def _document_counts(terms, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(part, counts): in how many of the task's documents each term occurs, part by part; part -1 has their number."""
-    known = Terms(terms.value)
+    known = terms_by(terms)
     sums, rows = np.zeros(len(known.numbers), dtype=np.int64), 0
     for batch in batches:
         rows += batch.num_rows
@@ -162,7 +189,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _vectors(terms, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, toxic, terms, counts) of examples (doc_id, toxic, text)."""
-    known = Terms(terms.value)
+    known = terms_by(terms)
     for batch in batches:
         numbers, counts = [], []
         for text in pc.fill_null(batch.column(2), "").to_pylist():
@@ -306,14 +333,15 @@ class BlockMaxIndex:
         n_parts = self.term_parts[terms + 1] - self.term_parts[terms]
         parts = runs_of(self.term_parts[terms], n_parts)
         owner, weight = np.repeat(place, n_parts), np.repeat(weights, n_parts)
-        block = self.part_block[parts]
-        bounds = np.bincount(owner * self.blocks + block, weights=weight * self.part_largest[parts], minlength=n * self.blocks)
+        cell = owner * self.blocks + self.part_block[parts]
+        bounds = np.bincount(cell, weights=weight * self.part_largest[parts], minlength=n * self.blocks)
         bounds = bounds.astype(float).reshape(n, self.blocks)
 
         def summed(chosen: np.ndarray) -> np.ndarray:
-            kept = chosen[owner, block]
-            starts = self.part_starts[parts[kept]]
-            lengths = self.part_starts[parts[kept] + 1] - starts
+            kept = np.flatnonzero(chosen.ravel()[cell])
+            own = parts[kept]
+            starts = self.part_starts[own]
+            lengths = self.part_starts[own + 1] - starts
             at = runs_of(starts, lengths)
             keys = np.repeat(owner[kept] * padded, lengths) + self.entries[at]
             products = np.repeat(weight[kept], lengths) * self.values[at]
@@ -343,7 +371,7 @@ class BlockMaxIndex:
 
 
 def _scores(terms, index, nearest: int, id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = Terms(terms.value)
+    known = terms_by(terms)
     for batch in batches:
         for begin, texts in bounded(pc.fill_null(batch.column(2), "").to_pylist()):
             # Repeated texts of a run are scored once.

@@ -160,6 +160,21 @@ def test_arrays_survive_transit():
 # --- toxicity ---------------------------------------------------------------------------------------
 
 
+def test_counts_of_terms_follow_from_words_met(spark, monkeypatch):
+    """The counts are those of each word's terms, also when words met are forgotten; tasks of a worker share them."""
+    rng = random.Random(4)
+    words = ["", "a", "Hello", "hello1there", "hellos", "helloes", "\u00e9t\u00e9s\u4e2d\u6587\u5b57", "\u00e9t\u00e9s\u4e2d\u6587", "x", "wonderful", "wonders"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(12))) for _ in range(40)] + ["", "  "]
+    every = sorted({t for w in words for t in toxicity.terms_of(w.lower()) if t and t[0] != "x"} - {"hellos"})
+    numbers = {t: n for n, t in enumerate(every)}
+    sent = spark.sparkContext.broadcast(numbers)
+    assert toxicity.terms_by(sent) is toxicity.terms_by(sent)
+    monkeypatch.setattr(toxicity, "REMEMBERED", 3)
+    for known in (toxicity.terms_by(sent), toxicity.Terms({})):
+        plain = [(i, n, float(c)) for i, text in enumerate(texts) for n, c in sorted(Counter(known.numbers[t] for w in toxicity.words_of(text) for t in toxicity.terms_of(w) if t in known.numbers).items())]
+        assert list(zip(*(a.tolist() for a in known.counts(texts)))) == plain
+
+
 def test_index_is_exact():
     rng = np.random.default_rng(5)
     idf = rng.random(40) + 0.5
