@@ -583,8 +583,8 @@ def kmeans_profiles(spark, sf_dir):
 
 @query
 def kmeans_seeded(spark, sf_dir):
-    """Ten restarts of four clusters, the best by cost."""
-    return rounded(lloyd.seeded_kmeans(jobs.featured_table(spark, sf_dir), fv.CLUSTER_FEATURES, [4], restarts=10, most_steps=30))
+    """Ten runs of four clusters, the best by cost."""
+    return rounded(lloyd.seeded_kmeans(jobs.featured_table(spark, sf_dir), fv.CLUSTER_FEATURES, [4], most_steps=30))
 
 
 @query
