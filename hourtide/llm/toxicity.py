@@ -5,13 +5,12 @@
    far its share of toxic examples, drawn towards the common share as if 20 more examples were seen, lies from
    that on the log-odds scale. So what says nothing about the label hardly counts, whatever the number of examples.
 2. One pass over all documents counts in how many of them each term occurs.
-3. Equal example vectors become one entry with its numbers of good and bad examples. The entries form an
-   inverted index in blocks of similar entries, with the largest weight of each term in each block. A batch of
-   texts is looked up at once. The light terms of a text, whose weights together are no longer than a small length,
-   add no more than that to any cosine. The largest weights of its other terms bound each block; the two
-   best blocks are scored first, then those whose bound reaches the k-th best score. Entries that may still be among the
-   k best with the light terms get these added. So the search is exact. The index is bounded by the
-   number of examples and sent to every task.
+3. Equal example vectors become one entry with its numbers of good and bad examples. The terms that many entries have
+   are rows of a matrix in short numbers, the others have postings. A batch of texts is compared with all entries at once: by a
+   product with the matrix, and by the postings of its other terms. The light ones of these, whose weights together are no
+   longer than a small length, add no more than that to any cosine and are left for later. Entries that may be among the k best
+   after rounding and with the light terms are compared again, with all terms and in full precision. So the search is exact. The index
+   is bounded by the number of examples and sent to every task; the matrix is made there, of a bounded number of cells.
 4. Each near entry votes with its examples, weighted by its squared cosine over its distance; a small prior votes against.
 """
 
@@ -21,7 +20,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -40,11 +39,12 @@ BEGINNINGS = (5,)
 #: Examples of the common share that a term is taken to have been seen in besides its own.
 SEEN_BEFORE = 20
 NEAREST = 10
-BLOCK = 64
 #: The length of the part of a text's vector that only near entries are compared with.
 LIGHT = 0.03
-#: Blocks that are scored first.
-FIRST_BLOCKS = 2
+#: Terms that one in so many entries has, or more, are rows of a matrix of at most so many cells.
+FREQUENT, MOST_CELLS = 16, 1 << 22
+#: Postings that are added at a time.
+POSTINGS = 1 << 20
 #: Added to a distance before it divides a vote.
 SOFTEN = 0.1
 PRIOR_WEIGHT = 1.0
@@ -53,7 +53,7 @@ MOST_PRIOR = 0.1
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 #: Texts, and letters, that are looked at together; words whose terms are remembered; counts in a row.
-TEXTS, LETTERS = 32, 1 << 21
+TEXTS, LETTERS = 64, 1 << 21
 REMEMBERED = 1 << 19
 COUNTS = 4096
 
@@ -224,8 +224,9 @@ def kth_largest(values: np.ndarray, k: int) -> np.ndarray:
     return np.maximum(np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k], 0.0)
 
 
-class BlockMaxIndex:
-    """Entries (terms, counts, examples, toxic examples, an example's id) under ``weights`` of the terms."""
+class ExampleIndex:
+    """Entries (terms, counts, examples, toxic examples, an example's id) under ``weights`` of the terms. Terms that many
+    entries have are rows of a matrix; the others have postings."""
 
     def __init__(self, weights: np.ndarray, entries: list[tuple[tuple[int, ...], tuple[int, ...], int, int, object]]) -> None:
         self.weights = weights
@@ -240,121 +241,108 @@ class BlockMaxIndex:
             if raw.any():
                 used = raw > 0
                 terms, raw = terms[used], raw[used] / math.sqrt(float(raw @ raw))
-                # Entries with the same strongest terms are neighbours, and so share a block.
+                # Entries with the same strongest terms are neighbours.
                 strongest = terms[np.lexsort((terms, -np.round(raw, 9)))[:3]].tolist()
                 vectors.append((strongest, terms.tolist(), raw, *rest))
         vectors.sort(key=lambda v: (v[0], v[1], v[2].tolist()))
         self.size = len(vectors)
-        self.blocks = -(-self.size // BLOCK)
         self.n = np.array([v[3] for v in vectors], dtype=float)
         self.toxic = np.array([v[4] for v in vectors], dtype=float)
         self.ids = [v[5] for v in vectors]
-        # The vectors one after another, and the postings of each term in order of entries.
+        # The vectors one after another.
         self.vector_starts = np.concatenate([[0], np.cumsum([len(v[1]) for v in vectors])]).astype(np.int64)
-        owner = np.repeat(np.arange(self.size), np.diff(self.vector_starts))
-        self.vector_terms = np.concatenate([np.zeros(0, dtype=np.int64), *[np.array(v[1]) for v in vectors]]).astype(np.int32)
+        self.vector_terms = np.concatenate([np.zeros(0, dtype=np.int64), *[np.array(v[1]) for v in vectors]]).astype(np.int64)
         self.vector_values = np.concatenate([np.zeros(0), *[v[2] for v in vectors]])
-        order = np.argsort(self.vector_terms, kind="stable")
-        self.entries, self.values = owner[order].astype(np.int32), self.vector_values[order]
-        # Parts: the postings of one term in one block, with their largest weight.
-        keys = self.vector_terms[order].astype(np.int64) * max(1, self.blocks) + self.entries // BLOCK
-        firsts = np.flatnonzero(np.diff(keys, prepend=-1))
-        self.part_starts = np.append(firsts, len(keys))
-        self.part_block = (keys[firsts] % max(1, self.blocks)).astype(np.int32)
-        self.part_largest = np.maximum.reduceat(self.values, firsts) if len(firsts) else np.zeros(0)
-        self.term_parts = np.concatenate([[0], np.cumsum(np.bincount(keys[firsts] // max(1, self.blocks), minlength=len(weights)))])
+        # The matrix has the most frequent terms, as many as are frequent and fit.
+        has = np.bincount(self.vector_terms, minlength=len(weights))
+        often = np.argsort(-has, kind="stable")[: min(int((has * FREQUENT > self.size).sum()), MOST_CELLS // max(1, self.size))]
+        self.row = np.full(len(weights), -1, dtype=np.int32)
+        self.row[often] = np.arange(len(often))
+        self.rows = len(often)
+        #: How far a sum may lie from the exact one, as a part of it: nothing is negative, so errors of rounding do not grow.
+        self.error = (self.rows + 1024) * 2.0**-23
+        # The postings of the other terms in order of entries.
+        owner = np.repeat(np.arange(self.size), np.diff(self.vector_starts))
+        others = np.flatnonzero(self.row[self.vector_terms] < 0)
+        others = others[np.argsort(self.vector_terms[others], kind="stable")]
+        self.entries, self.values = owner[others].astype(np.int32), self.vector_values[others]
+        self.starts = np.concatenate([[0], np.cumsum(np.where(self.row < 0, has, 0))]).astype(np.int64)
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """The weights of the frequent terms in the entries, made where it is used."""
+        rows = self.row[self.vector_terms]
+        owner = np.repeat(np.arange(self.size), np.diff(self.vector_starts))
+        matrix = np.zeros((self.rows, self.size), dtype=np.float32)
+        matrix[rows[rows >= 0], owner[rows >= 0]] = self.vector_values[rows >= 0]
+        return matrix
 
     def nearest(self, place: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, k: int, light: float = LIGHT) -> list[tuple[np.ndarray, np.ndarray]]:
         """Numbers and cosines of the k entries with the largest positive cosine for each of ``n`` texts, whose counts come in
         order of texts; equal ones, to nine digits, go to the earlier entry."""
         none = (np.zeros(0, dtype=np.int64), np.zeros(0))
         raw = (1 + np.log(counts)) * self.weights[terms]
-        length = np.sqrt(np.bincount(place, weights=raw * raw, minlength=n))
         used = raw > 0
         if not self.size or not used.any():
             return [none] * n
-        place, terms = place[used], terms[used]
-        weights = raw[used] / length[place]
-        # The light terms of each text: the smallest weights, as long as the squares do not add up to more.
-        order = np.lexsort((weights, place))
-        squares = np.cumsum(weights[order] ** 2)
-        first = np.searchsorted(place[order], np.arange(n))
-        before = np.where(first > 0, squares[np.maximum(first - 1, 0)], 0.0)
-        is_light = np.zeros(len(order), dtype=bool)
-        is_light[order] = (squares - before[place[order]] <= light * light) & (light > 0)
-        rest = np.sqrt(np.bincount(place[is_light], weights=weights[is_light] ** 2, minlength=n)) + 1e-9
-        heavy = ~is_light
-        cosines, least = self._heavy(place[heavy], terms[heavy], weights[heavy], n, k, rest)
+        place, terms, raw = place[used], terms[used], raw[used]
+        weights = raw / np.sqrt(np.bincount(place, weights=raw * raw, minlength=n))[place]
+        sums, rest = self._sums(place, terms, weights, n, k, light)
+        # Whatever reaches this may be among the k best; sums that are rounded to nothing do not count.
+        least = np.maximum(kth_largest(sums, k) * (1 - 2 * self.error) - rest, 1e-10)
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        bounds = np.searchsorted(place, np.arange(n + 1))
+        texts, near = np.nonzero(sums >= least[:, None])
+        bounds, nears = np.searchsorted(place, np.arange(n + 1)).tolist(), np.searchsorted(texts, np.arange(n + 1)).tolist()
         scratch = np.zeros(len(self.weights))
         for text in range(n):
-            own = slice(bounds[text], bounds[text + 1])
-            part = is_light[own]
-            if part.any() and least[text] <= rest[text]:
-                # So little is shared that light terms may decide anywhere: nothing counts as light.
-                found += self.nearest(np.zeros(own.stop - own.start, dtype=np.int64), terms[own], counts[used][own], 1, k, 0.0)
+            likely, own = near[nears[text] : nears[text + 1]], slice(bounds[text], bounds[text + 1])
+            if not len(likely):
+                found.append(none)
                 continue
-            row = cosines[text]
-            near = np.flatnonzero(row >= max(least[text] - rest[text], 1e-12))
-            scores = row[near]
-            if part.any() and len(near):
-                scratch[terms[own][part]] = weights[own][part]
-                # The likeliest first: their scores leave fewer of the others.
-                likely = np.argsort(-scores, kind="stable")[: 3 * k]
-                sure = scores[likely] + self._light(scratch, near[likely])
-                if len(near) > len(likely) >= k:
-                    others = np.ones(len(near), dtype=bool)
-                    others[likely] = False
-                    others &= scores >= np.partition(sure, len(sure) - k)[len(sure) - k] - rest[text]
-                    more = np.flatnonzero(others)
-                    sure = np.append(sure, scores[more] + self._light(scratch, near[more]))
-                    likely = np.append(likely, more)
-                near, scores = near[likely], sure
-                scratch[terms[own][part]] = 0.0
-            scores = np.round(scores, 9)
-            best = np.lexsort((near, -scores))[:k]
+            scratch[terms[own]] = weights[own]
+            scores = np.round(self._exact(scratch, likely), 9)
+            scratch[terms[own]] = 0.0
+            best = np.lexsort((likely, -scores))[:k]
             best = best[scores[best] > 0]
-            found.append((near[best], scores[best]))
+            found.append((likely[best], scores[best]))
         return found
 
-    def _light(self, scratch: np.ndarray, near: np.ndarray) -> np.ndarray:
-        """What the weights of terms in ``scratch`` add to the cosines of some entries."""
-        if not len(near):
-            return np.zeros(0)
-        lengths = self.vector_starts[near + 1] - self.vector_starts[near]
-        at = runs_of(self.vector_starts[near], lengths)
-        return np.add.reduceat(scratch[self.vector_terms[at]] * self.vector_values[at], np.cumsum(lengths) - lengths)
-
-    def _heavy(self, place: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums over the given terms for all entries in blocks that may hold one of the k best, 0 elsewhere, and the k-th
-        largest sum. ``rest`` is what other terms can add."""
-        padded = self.blocks * BLOCK
-        n_parts = self.term_parts[terms + 1] - self.term_parts[terms]
-        parts = runs_of(self.term_parts[terms], n_parts)
-        owner, weight = np.repeat(place, n_parts), np.repeat(weights, n_parts)
-        cell = owner * self.blocks + self.part_block[parts]
-        bounds = np.bincount(cell, weights=weight * self.part_largest[parts], minlength=n * self.blocks)
-        bounds = bounds.astype(float).reshape(n, self.blocks)
-
-        def summed(chosen: np.ndarray) -> np.ndarray:
-            kept = np.flatnonzero(chosen.ravel()[cell])
-            own = parts[kept]
-            starts = self.part_starts[own]
-            lengths = self.part_starts[own + 1] - starts
-            at = runs_of(starts, lengths)
-            keys = np.repeat(owner[kept] * padded, lengths) + self.entries[at]
-            products = np.repeat(weight[kept], lengths) * self.values[at]
-            return np.bincount(keys, weights=products, minlength=n * padded).astype(float).reshape(n, padded)
-
-        done = np.zeros((n, self.blocks), dtype=bool)
-        ahead = min(FIRST_BLOCKS, self.blocks)
-        np.put_along_axis(done, np.argpartition(-bounds, ahead - 1, axis=1)[:, :ahead], True, axis=1)
-        cosines = summed(done)
-        least = kth_largest(cosines, k)
-        # Rounding may put a bound a little below what it bounds.
-        cosines += summed((bounds + rest[:, None] + 1e-9 >= least[:, None]) & (bounds > 0) & ~done)
-        return cosines, kth_largest(cosines, k)
+    def _exact(self, scratch: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """The cosines of some entries with the text whose weights are in ``scratch``."""
+        spans = [slice(a, b) for a, b in zip(self.vector_starts[near].tolist(), self.vector_starts[near + 1].tolist())]
+        return np.array([scratch.take(self.vector_terms[own]) @ self.vector_values[own] for own in spans])
+
+    def _sums(self, place: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, light: float) -> tuple[np.ndarray, np.ndarray]:
+        """The cosines of all entries with each text but for rounding and the text's light terms, and what these can add."""
+        rows = self.row[terms]
+        inside = rows >= 0
+        texts = np.zeros((n, self.rows), dtype=np.float32)
+        texts[place[inside], rows[inside]] = weights[inside]
+        sums = texts @ self.matrix
+        place, terms, weights = place[~inside], terms[~inside], weights[~inside]
+        # The light ones of the other terms: their squares together are no more than that of ``light``.
+        is_light = weights * np.sqrt(np.bincount(place, minlength=n))[place] <= light
+        self._add(sums, place[~is_light], terms[~is_light], weights[~is_light])
+        place, terms, weights = place[is_light], terms[is_light], weights[is_light]
+        rest = np.sqrt(np.bincount(place, weights=weights**2, minlength=n)) * (1 + 1e-9)
+        # Where so little is shared that light terms may decide anywhere, nothing counts as light.
+        weak = (rest > 0) & (kth_largest(sums, k) * (1 - 2 * self.error) <= rest)
+        if weak.any():
+            rest[weak] = 0.0
+            self._add(sums, place[weak[place]], terms[weak[place]], weights[weak[place]])
+        return sums, rest
+
+    def _add(self, sums: np.ndarray, place: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        """Add the products of the weights with the postings of their terms, a bounded number at a time."""
+        lengths = self.starts[terms + 1] - self.starts[terms]
+        cuts = np.searchsorted(np.cumsum(lengths), np.arange(POSTINGS, int(lengths.sum()) + POSTINGS, POSTINGS))
+        begin = 0
+        for end in np.minimum(cuts + 1, len(terms)).tolist():
+            own, begin = slice(begin, end), end
+            at = runs_of(self.starts[terms[own]], lengths[own])
+            keys = np.repeat(place[own] * sums.shape[1], lengths[own]) + self.entries[at]
+            products = np.repeat(weights[own], lengths[own]) * self.values[at]
+            sums += np.bincount(keys, weights=products, minlength=sums.size).reshape(sums.shape)
 
     def scores(self, place: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, k: int = NEAREST) -> list[tuple[float, list[object], list[float]]]:
         """The toxic share of the votes, and the evidence: nearest examples and their cosines."""
@@ -370,6 +358,10 @@ class BlockMaxIndex:
         return out
 
 
+#: Its former name.
+BlockMaxIndex = ExampleIndex
+
+
 def _scores(terms, index, nearest: int, id_type: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = terms_by(terms)
     for batch in batches:
@@ -399,14 +391,14 @@ def examples_of(labels: DataFrame, id: str, label: str, most: int) -> DataFrame:
     return open_.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def index_of(rows: DataFrame, examples: DataFrame) -> tuple[dict[str, int], BlockMaxIndex]:
+def index_of(rows: DataFrame, examples: DataFrame) -> tuple[dict[str, int], ExampleIndex]:
     """The numbers of the terms of ``examples`` (doc_id, toxic, text), and the index with document frequencies over
     ``rows`` (text)."""
     spark = rows.sparkSession
     totals = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
         entries = [((), (), n, n * toxic, None) for toxic, n in totals.items()]
-        return {}, BlockMaxIndex(np.zeros(0), entries)
+        return {}, ExampleIndex(np.zeros(0), entries)
     each = examples.select("text", "toxic").mapInArrow(_example_terms, "term string, toxic bigint, clean bigint")
     summed = each.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # How one example's words begin, and no other's, says no more than the words.
@@ -431,7 +423,7 @@ def index_of(rows: DataFrame, examples: DataFrame) -> tuple[dict[str, int], Bloc
     )
     grouped = seen.groupBy("terms", "counts").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
     found = [(tuple(r["terms"]), tuple(r["counts"]), r["n"], r["toxic"], r["doc_id"]) for r in grouped.toLocalIterator()]
-    return numbers, BlockMaxIndex(weights, found)
+    return numbers, ExampleIndex(weights, found)
 
 
 def toxicity(

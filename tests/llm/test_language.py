@@ -200,6 +200,42 @@ def test_index_is_exact():
             assert exact[[index.ids[i] for i in numbers]] == pytest.approx(cosines, abs=1e-8)
 
 
+def test_frequent_terms_are_not_looked_up_one_by_one(monkeypatch):
+    """Texts of terms that half the entries have touch none of their postings, and the search stays exact: with a
+    matrix of all, some or none of the terms, postings in small pieces, and entries of equal cosines."""
+    rng = np.random.default_rng(6)
+    idf = rng.random(60) + 0.5
+    entries = [(tuple(np.sort(rng.choice(60, 30, replace=False)).tolist()), tuple(rng.integers(1, 4, 30).tolist()), 1, i % 2, i) for i in range(640)]
+    entries += [(*e[:2], 1, 1, 1000 + e[4]) for e in entries[:30]]
+    matrix = np.zeros((len(entries), 60))
+    for row, (terms, counts, *_) in zip(matrix, entries):
+        row[list(terms)] = (1 + np.log(counts)) * idf[list(terms)]
+    matrix /= np.linalg.norm(matrix, axis=1)[:, None]
+    counts = rng.integers(0, 3, (32, 60))
+    counts[0], counts[1] = 0, np.arange(60) == 7
+    place, terms = np.nonzero(counts)
+    texts = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0) * idf
+    exact = matrix @ (texts / np.maximum(np.linalg.norm(texts, axis=1), 1e-9)[:, None]).T
+    numbers, touched, runs = {e[4]: i for i, e in enumerate(entries)}, [], toxicity.runs_of
+    monkeypatch.setattr(toxicity, "runs_of", lambda starts, lengths: touched.append(int(lengths.sum())) or runs(starts, lengths))
+
+    def holds(index, light):
+        for text, (near, cosines) in enumerate(index.nearest(place, terms, counts[place, terms], 32, 10, light)):
+            plain = np.sort(exact[:, text])[::-1][:10]
+            assert cosines == pytest.approx(plain[plain > 0], abs=1e-9)
+            assert exact[[numbers[index.ids[i]] for i in near], text] == pytest.approx(cosines, abs=1e-8)
+            assert (np.lexsort((near, -cosines)) == np.arange(len(near))).all()
+
+    holds(toxicity.BlockMaxIndex(idf, entries), 0.03)
+    # Every posting of these texts is some 350,000.
+    assert sum(touched) < 50_000
+    monkeypatch.setattr(toxicity, "POSTINGS", 1000)
+    for cells in (1 << 22, 20 * len(entries), 0):
+        monkeypatch.setattr(toxicity, "MOST_CELLS", cells)
+        for light in (0.0, 0.05, 0.5, 0.95):
+            holds(toxicity.BlockMaxIndex(idf, entries), light)
+
+
 def plain_scores(docs, labels):
     """The whole score with a dictionary per text and every example compared."""
     examples = sorted((i for i in labels if split_of(i, 4) != 2 and i in docs))
